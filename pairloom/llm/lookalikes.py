@@ -203,8 +203,8 @@ def canonical(text: str | None, context: str | None = None) -> str | None:
     if _COMPATIBLE.search(t):
         t = _COMPATIBLE.sub(lambda m: unicodedata.normalize("NFKC", m.group()), t)
     if any(c in LATIN_LATIN for c in t):
-        viet = regex.search(r"[\u1EA0-\u1EF9\u01A0\u01A1\u01AF\u01B0đĐăĂ]", t) is not None
-        t = "".join(c if c == "ß" or (c == "Ð" and not viet) else LATIN_LATIN.get(c, c) for c in t)
+        nordic = re.search("[þÞð]", t) is not None  # there Ð is a letter of its own
+        t = "".join(c if c == "ß" or (c == "Ð" and nordic) else LATIN_LATIN.get(c, c) for c in t)
     if not t.isascii():
         t = _one_script(t, context)
     return unicodedata.normalize("NFC", t)
