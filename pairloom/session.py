@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +23,20 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark context.
+
+    Python functions then run where the package is not installed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_pairloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="pairloom-code-")) / "pairloom.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._pairloom_shipped = True
