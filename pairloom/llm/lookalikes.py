@@ -44,6 +44,8 @@ SUSPICIOUS_JAVA = (
 )
 _FORCED_CYRILLIC = "бвгджзийклмнптфцчшщъыьэюяБГДЖЗИЙЛПФЦЧШЩЪЫЬЭЮЯёЁ"
 
+#: Characters without which a text is in its consistent spelling (``SUSPICIOUS_JAVA``, and Cyrillic).
+_ODD = regex.compile(SUSPICIOUS_JAVA[:-1] + r"\u0400-\u052F]")
 _TOKEN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _EMOJI = regex.compile(r"[\p{Extended_Pictographic}\p{Emoji_Modifier}\ufe0f]")
 _JOINING = regex.compile(r"[\p{Arabic}\p{Hebrew}\p{Syriac}\p{Thaana}\p{Devanagari}\p{Bengali}\p{Gurmukhi}\p{Gujarati}\p{Oriya}\p{Tamil}\p{Telugu}\p{Kannada}\p{Malayalam}\p{Sinhala}\p{Mongolian}\p{Khmer}\p{Myanmar}\p{Tibetan}]")
@@ -193,7 +195,7 @@ def canonical(text: str | None, context: str | None = None) -> str | None:
     Null stays null. A text without letters is returned unchanged. The result of
     the result is the result.
     """
-    if text is None or text.isascii() or not _LETTER.search(text):
+    if text is None or text.isascii() or not _ODD.search(text) or not _LETTER.search(text):
         return text
     t = _without_invisible(text)
     t = unicodedata.normalize("NFC", t)
