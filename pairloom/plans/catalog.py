@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+from pairloom.plans import ingest, layout, layout_sql, metrics
 
-def oracle_sql():
-    return {}
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for module in (ingest, layout, metrics) for f in module.QUERIES}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**ingest.ORACLES, **layout_sql.ORACLES, **metrics.ORACLES}
