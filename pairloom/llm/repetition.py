@@ -24,14 +24,19 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from pairloom.llm.sampling import lowest_hashes
+
 _SENTENCE = re.compile(r"[.!?…。！？\n\r;]+")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
+#: Writing and a letter of it, in the order in which they are asked.
+WRITINGS = [("cjk", r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]"), ("cyrillic", r"[\u0400-\u04ff]"), ("marked", "[\u1ea0-\u1ef9\u01a0\u01a1\u01af\u01b0\u0110\u0111]")]
 #: Letters that a stretch must have; in scripts that write a word in one or two letters, fewer.
 STRETCH, STRETCH_CJK = 16, 8
 
@@ -98,12 +103,15 @@ def bound_of_share(text: Column) -> Column:
 
 def writing(text: Column) -> Column:
     """The stratum's writing: 'cjk', 'cyrillic', 'marked' (Latin with Vietnamese letters) or 'latin'."""
-    return (
-        F.when(text.rlike(r"[぀-ヿ㐀-鿿가-힯]"), "cjk")
-        .when(text.rlike(r"[Ѐ-ӿ]"), "cyrillic")
-        .when(text.rlike(r"[Ạ-ỹƠơƯưĐđ]"), "marked")
-        .otherwise("latin")
-    )
+    return reduce(lambda other, w: F.when(text.rlike(w[1]), w[0]).otherwise(other), reversed(WRITINGS), F.lit("latin"))
+
+
+def writing_of(text: str) -> str:
+    """The same in Python."""
+    for kind, pattern in WRITINGS:
+        if re.search(pattern, text):
+            return kind
+    return "latin"
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
@@ -178,14 +186,14 @@ def texts_of(df: DataFrame, id_col: str, answer: str, metadata: str, entry: str)
     ).select(id_col, "e.field_name", "e.text")
 
 
-def fit_cutoffs(texts: DataFrame, id_col: str, risk: float = 0.01, error: float = 0.05, rows: int = 4000, size: int = 1400, seed: int = 7) -> Cutoffs:
+def fit_cutoffs(df: DataFrame, id_col: str, answer: str, metadata: str, entry: str, risk: float = 0.01, error: float = 0.05, rows: int = 2500, size: int = 1400, seed: int = 7) -> Cutoffs:
     """Cutoffs from labelled holdouts.
 
-    The sentences come from at most ``rows`` texts, those of lowest hash, whatever
+    The sentences come from at most ``rows`` rows, those of lowest hash, whatever
     the size of the corpus; each stratum gets ``size`` composed texts.
     """
-    kinds = texts.where(F.length("text") >= 20).select("field_name", writing(F.col("text")).alias("kind"), "text", F.xxhash64(F.lit(seed), id_col, "field_name").alias("h"))
-    sample = kinds.orderBy("h", "text").limit(rows).collect()
+    few = lowest_hashes(df.select(F.col(id_col), F.col(answer).alias("answer"), F.element_at(F.col(metadata), entry).alias("metadata")), rows, seed, F.col(id_col))
+    sample = [Row(field_name=f, kind=writing_of(r[f]), text=r[f]) for r in few for f in ("answer", "metadata") if r[f] and len(r[f]) >= 20]
     pools: dict[tuple[str, str], dict[str, str]] = {}
     for r in sample:
         pool = pools.setdefault((r.field_name, r.kind), {})
@@ -214,7 +222,7 @@ def repetition(df: DataFrame, id_col: str = "row_index", answer: str = "answer",
     Repeated rows give a row each; other columns are not read.
     """
     texts = texts_of(df, id_col, answer, metadata, entry).where("text is not null")
-    cutoffs = cutoffs or fit_cutoffs(texts, id_col)
+    cutoffs = cutoffs or fit_cutoffs(df, id_col, answer, metadata, entry)
     lowest = min([cutoffs.default, *cutoffs.by_stratum.values()])
     possible = texts.where(bound_of_share(F.col("text")) > lowest).withColumn("cutoff", cutoffs.column(F.col("field_name"), writing(F.col("text"))))
     kind = df.schema[id_col].dataType.simpleString()
