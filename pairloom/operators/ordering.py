@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 #: Hexadecimal digits of a key that choose its bucket: 4096 buckets.
 KEY_DIGITS = 3
@@ -85,7 +86,7 @@ def shuffle_buffer(df: DataFrame, size: int, seed: int) -> DataFrame:
     out_pos >= in_pos - size + 1. Sequential inside a partition by its nature;
     only indices are held beside the buffered batch.
     """
-    schema = df.schema.add("in_pos", "long").add("out_pos", "long")
+    schema = StructType([*df.schema.fields, StructField("in_pos", LongType()), StructField("out_pos", LongType())])
     names = df.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
