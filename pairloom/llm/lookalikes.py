@@ -199,16 +199,18 @@ def canonical(text: str | None, context: str | None = None) -> str | None:
         return text
     t = _without_invisible(text)
     t = unicodedata.normalize("NFC", t)
-    t = _plain_width(t)
-    t = _SPACE.sub(lambda m: m.group() if m.group() == "\u3000" and _CJK.search(t) and _wide_space_fits(t, m.start()) else " ", t)
-    t = t.replace("‐", "-").replace("‑", "-")
     if _COMPATIBLE.search(t):
         t = _COMPATIBLE.sub(lambda m: unicodedata.normalize("NFKC", m.group()), t)
+    t = _plain_width(t)
+    t = _SPACE.sub(lambda m: m.group() if m.group() == "\u3000" and _CJK.search(t) and _wide_space_fits(t, m.start()) else " ", t)
+    t = t.replace("\u2010", "-").replace("\u2011", "-")
     if any(c in LATIN_LATIN for c in t):
         nordic = re.search("[þÞð]", t) is not None  # there Ð is a letter of its own
         t = "".join(c if c == "ß" or (c == "Ð" and nordic) else LATIN_LATIN.get(c, c) for c in t)
-    if not t.isascii():
-        t = _one_script(t, context)
+    for _ in range(4):  # a word that is decided may decide its neighbours
+        before = t
+        if t.isascii() or (t := _one_script(t, context)) == before:
+            break
     return unicodedata.normalize("NFC", t)
 
 
@@ -243,7 +245,8 @@ def changed_texts(df: DataFrame, id_col: str = "row_index", fields: tuple[str, .
         for pdf in batches:
             new = [canonical(t, c) for t, c in zip(pdf["text"], pdf["context"])]
             keep = [n != t for n, t in zip(new, pdf["text"])]
-            yield pd.DataFrame({id_col: pdf[id_col][keep], "field_name": pdf["field_name"][keep], "canonical": [n for n, k in zip(new, keep) if k]})
+            out = pdf.loc[keep, [id_col, "field_name"]]
+            yield out.assign(canonical=pd.Series([n for n, k in zip(new, keep) if k], index=out.index, dtype=object))
 
     return found.mapInPandas(run, f"`{id_col}` {kind}, field_name string, canonical string")
 

@@ -46,9 +46,9 @@ def rates(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     usable = (F.col("weight") > 0) & (F.col("tokens") > 0) & (F.col("max_repeats") > 0)
     mix = Window.partitionBy("mix_id")
     return (
-        joined.withColumn("target_share", F.when(usable, F.col("weight")).otherwise(0.0) / F.sum(F.when(usable, F.col("weight"))).over(mix))
-        .withColumn("size", F.min(F.when(usable, F.col("tokens") * F.col("max_repeats") / F.col("target_share"))).over(mix))
-        .withColumn("rate", F.when(usable, F.least(F.col("target_share") * F.col("size") / F.col("tokens"), F.col("max_repeats").cast("double"))).otherwise(0.0))
+        joined.withColumn("target_share", F.try_divide(F.when(usable, F.col("weight")).otherwise(0.0), F.sum(F.when(usable, F.col("weight"))).over(mix)))
+        .withColumn("size", F.min(F.when(usable, F.try_divide(F.col("tokens") * F.col("max_repeats"), F.col("target_share")))).over(mix))
+        .withColumn("rate", F.when(usable, F.least(F.try_divide(F.col("target_share") * F.col("size"), F.col("tokens")), F.col("max_repeats").cast("double"))).otherwise(0.0))
         .select("mix_id", "source", "weight", "max_repeats", "tokens", "rate", F.coalesce("target_share", F.lit(0.0)).alias("target_share"))
     )
 
@@ -85,5 +85,5 @@ def shares(uses: DataFrame, plan: DataFrame) -> DataFrame:
     return (
         plan.join(got, ["mix_id", "source"], "left")
         .fillna(0, ["documents", "used_tokens", "most_copies"])
-        .select("mix_id", "source", "target_share", F.coalesce(F.col("used_tokens") / total, F.lit(0.0)).alias("actual_share"), "rate", "max_repeats", "most_copies", "documents", "used_tokens")
+        .select("mix_id", "source", "target_share", F.coalesce(F.try_divide(F.col("used_tokens"), total), F.lit(0.0)).alias("actual_share"), "rate", "max_repeats", "most_copies", "documents", "used_tokens")
     )

@@ -37,7 +37,8 @@ def plan_patterns(counts: dict[int, int], capacity: int) -> list[tuple[int, list
 
     The largest size left opens a container and the largest sizes that still fit
     fill it; the pattern is repeated as often as all its sizes last. Every
-    pattern uses up a size, so there are no more patterns than sizes.
+    pattern uses up a size or leaves less of it than one container takes, so
+    there are about as many patterns as sizes.
     """
     left = {s: n for s, n in counts.items() if n > 0}
     order = sorted(left)
@@ -88,10 +89,10 @@ def sized(documents: DataFrame, text: str = "text", id_col: str = "doc_id", keep
 
 def pieces(sizes: DataFrame, specs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(spec_id, capacity, id, tokens, piece, start, size): whole texts, or the pieces of those that exceed a container."""
-    listed = [(int(r[0]), int(r[1])) for r in specs.limit(MOST_SPECS + 1).collect()]
-    if len(listed) > MOST_SPECS:
+    rows = specs.limit(MOST_SPECS + 1).collect()
+    if len(rows) > MOST_SPECS:
         raise ValueError(f"more than {MOST_SPECS} container sizes")
-    listed = sorted({x for x in listed if x[1] and x[1] > 0})
+    listed = sorted({(int(r[0]), int(r[1])) for r in rows if r[0] is not None and r[1] is not None and r[1] > 0})
     each = F.array(*[F.struct(F.lit(s).alias("spec_id"), F.lit(c).cast("long").alias("capacity")) for s, c in listed]) if listed else F.expr("cast(array() as array<struct<spec_id:int,capacity:bigint>>)")
     row = sizes.where("tokens > 0").select(id_col, "tokens", F.explode(each).alias("s")).select(id_col, "tokens", "s.*")
     return row.select(
