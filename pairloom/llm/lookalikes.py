@@ -168,7 +168,7 @@ def _one_script(text: str, context: str | None) -> str:
         own, can = sets[i]
         want = ""
         if len(own) > 1 and can:  # mixed scripts in one token
-            want = can if len(can) == 1 else main if main in can else can[0] if "L" not in can else "L"
+            want = can if len(can) == 1 else main if main and main in can else can[0] if "L" not in can else "L"
         elif own in ("C", "G", "L") and len(can) > 1:  # the whole token has look-alikes
             near = [f for f in (next((f for f in reversed(forced[:i]) if f), ""), next((f for f in forced[i + 1 :] if f), "")) if f]
             if own == "L":
@@ -200,8 +200,8 @@ def canonical(text: str | None, context: str | None = None) -> str | None:
     t = _without_invisible(text)
     t = unicodedata.normalize("NFC", t)
     if _COMPATIBLE.search(t):
-        t = _COMPATIBLE.sub(lambda m: unicodedata.normalize("NFKC", m.group()), t)
-    t = _plain_width(t)
+        t = unicodedata.normalize("NFC", _COMPATIBLE.sub(lambda m: unicodedata.normalize("NFKC", m.group()), t))
+    t = unicodedata.normalize("NFC", _plain_width(t))
     t = _SPACE.sub(lambda m: m.group() if m.group() == "\u3000" and _CJK.search(t) and _wide_space_fits(t, m.start()) else " ", t)
     t = t.replace("\u2010", "-").replace("\u2011", "-")
     if any(c in LATIN_LATIN for c in t):
@@ -209,7 +209,7 @@ def canonical(text: str | None, context: str | None = None) -> str | None:
         t = "".join(c if c == "ß" or (c == "Ð" and nordic) else LATIN_LATIN.get(c, c) for c in t)
     for _ in range(4):  # a word that is decided may decide its neighbours
         before = t
-        if t.isascii() or (t := _one_script(t, context)) == before:
+        if t.isascii() or (t := unicodedata.normalize("NFC", _one_script(t, context))) == before:
             break
     return unicodedata.normalize("NFC", t)
 
