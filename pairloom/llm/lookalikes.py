@@ -254,11 +254,13 @@ def changed_texts(df: DataFrame, id_col: str = "row_index", fields: tuple[str, .
 def canonical_columns(df: DataFrame, fields: tuple[str, ...] = ("question", "answer")) -> DataFrame:
     """``df`` with each of ``fields`` in its consistent spelling; all rows and columns stay.
 
-    The Python function is applied to every text, but returns unsuspicious ones
-    at once; null stays null.
+    Only suspicious texts are sent to Python; null stays null.
     """
     fields = tuple(fields)
     fix = F.pandas_udf(lambda t, c: pd.Series([canonical(x, y) for x, y in zip(t, c)], dtype=object), "string")
-    out = df
-    source = {f: F.col(f) for f in fields}
-    return out.withColumns({f: F.when(suspicious(source[f], source[f]), fix(source[f], source[next((o for o in fields if o != f), f)])).otherwise(source[f]) for f in fields})
+    new = {}
+    for f in fields:
+        text, context = F.col(f), F.col(next((o for o in fields if o != f), f))
+        odd = suspicious(text, context)
+        new[f] = F.when(odd, fix(F.when(odd, text), F.when(odd, context))).otherwise(text)
+    return df.withColumns(new)
