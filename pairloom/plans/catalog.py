@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.plans import ingest, layout, layout_sql, metrics
+from pairloom.plans import files, ingest, layout, layout_sql, metrics
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for module in (ingest, layout, metrics) for f in module.QUERIES}
+    return {f.__name__: f for module in (ingest, layout, metrics, files) for f in module.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**ingest.ORACLES, **layout_sql.ORACLES, **metrics.ORACLES}
+    return {**ingest.ORACLES, **layout_sql.ORACLES, **metrics.ORACLES, **files.ORACLES}
