@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pairloom.config import ImageConfig, PipelineConfig, TokenizerConfig
 from pairloom.functions import pixels as px
 from pairloom.functions.text import mask, padded, token_ids
+from pairloom.storage import spread
 
 PIXELS = "image binary, channels int, height int, width int, orig_height int, orig_width int, error string"
 
@@ -82,7 +83,7 @@ def decode_ids(ids: list[int], config: TokenizerConfig, skip_special: bool = Tru
 def processed(samples: DataFrame, config: PipelineConfig) -> DataFrame:
     """Valid samples with pixels, padded token arrays, lengths and metadata JSON; ``error`` says why a row has none."""
     t = config.tokenizer
-    with_ids = decoded(samples, config.image, fail_fast=config.fail_fast).withColumns({"q": ids_of(F.col("question"), t), "a": ids_of(F.col("answer"), t)})
+    with_ids = decoded(spread(samples), config.image, fail_fast=config.fail_fast).withColumns({"q": ids_of(F.col("question"), t), "a": ids_of(F.col("answer"), t)})
     n = t.max_length
     meta = F.to_json(F.map_concat(F.coalesce(F.col("metadata"), F.create_map().cast("map<string,string>")), F.create_map(F.lit("sample_id"), F.col("sample_id"))))
     return with_ids.select(

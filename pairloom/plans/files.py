@@ -9,7 +9,7 @@ from pairloom.config import ImageConfig, PipelineConfig, ShardConfig, TokenizerC
 from pairloom.operators import delivery, ingest, manifest, ordering, process, shards
 from pairloom.pipeline import assigned
 from pairloom.sources.shards import read_shards, write_shards
-from pairloom.storage import materialize, new_path
+from pairloom.storage import materialize, new_path, spread
 from pairloom.streaming.arrivals import arrivals
 from pairloom.tables import table
 
@@ -28,14 +28,14 @@ def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def image_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which images can be decoded, their true sizes, and whether the table's sizes are right."""
     s = table(spark, sf_dir, "samples").select("row_index", "image_bytes", "image_width", "image_height")
-    d = process.decoded(s, ImageConfig(max_image_dim=4096))
+    d = process.decoded(spread(s), ImageConfig(max_image_dim=4096))
     return d.select("row_index", F.col("pixels.error").isNull().alias("decodes"), "pixels.orig_width", "pixels.orig_height", ((F.col("pixels.orig_width") == F.col("image_width")) & (F.col("pixels.orig_height") == F.col("image_height"))).alias("sizes_right"))
 
 
 def image_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checksums of normalised images of one size."""
     c = ImageConfig(target_size=(24, 24), storage_dtype="float32", dynamic_padding=False)
-    d = process.decoded(table(spark, sf_dir, "samples").select("row_index", "image_bytes"), c)
+    d = process.decoded(spread(table(spark, sf_dir, "samples").select("row_index", "image_bytes")), c)
     return d.select("row_index", "pixels.height", "pixels.width", F.crc32("pixels.image").alias("crc"))
 
 

@@ -23,8 +23,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from pairloom.sources.codec import Record, ShardFile, ShardWriter, denormalise
 
@@ -34,6 +36,11 @@ SCHEMA = (
 )
 
 
+_KINDS = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
+ARROW = pa.schema([(f.split()[0], _KINDS[f.split()[1]]) for f in SCHEMA.split(", ")])
+BATCH_BYTES, BATCH_ROWS = 32 << 20, 4096
+
+
 @dataclass
 class ShardRange(InputPartition):
     shard_id: int
@@ -87,22 +94,53 @@ class ShardReader(DataSourceReader):
             out += [ShardRange(i, path, a, min(a + step, n), only) for a in range(0, n, step)]
         return out
 
-    def read(self, part: ShardRange) -> Iterator[tuple]:
+    def read(self, part: ShardRange) -> Iterator[pa.RecordBatch]:
+        """Arrow batches of at most ``BATCH_BYTES`` of pixels."""
         with ShardFile(part.path, self.verify) as s:
             rows = range(part.first, part.last) if part.only is None else [i for i in part.only if part.first <= i < part.last]
+            held: list[tuple] = []
+            size = 0
             for i in rows:
-                at, size = s.offsets[i]
-                head = (part.shard_id, i, os.path.basename(part.path))
-                if not self.payload:
-                    yield (*head, s.header.channels, None, None, None, None, None, None, None, None, None, None, at, size)
-                    continue
-                r = s[i]
-                pixels = denormalise(r.pixels, self.how, self.mean, self.std)
-                c, h, w = r.pixels.shape
-                yield (*head, c, h, w, r.orig_height, r.orig_width, pixels.tobytes(), r.q_ids.tolist(), r.q_mask.tolist(), r.a_ids.tolist(), r.a_mask.tolist(), r.metadata, at, size)
-
-
-class ShardSink(DataSourceWriter):
+                held.append(self._row(s, part, i))
+                size += len(held[-1][8] or b"")
+                if size >= BATCH_BYTES or len(held) >= BATCH_ROWS:
+                    yield _batch(held)
+                    held, size = [], 0
+            if held:
+                yield _batch(held)
+
+    def _row(self, s: ShardFile, part: ShardRange, i: int) -> tuple:
+        at, size = s.offsets[i]
+        head = (part.shard_id, i, os.path.basename(part.path), s.header.channels)
+        if not self.payload:
+            return (*head, *[None] * 10, at, size)
+        r = s[i]
+        pixels = denormalise(r.pixels, self.how, self.mean, self.std)
+        _, h, w = r.pixels.shape
+        return (*head, h, w, r.orig_height, r.orig_width, pixels.tobytes(), r.q_ids, r.q_mask, r.a_ids, r.a_mask, r.metadata, at, size)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = []
+    for values, f in zip(zip(*rows), ARROW):
+        if pa.types.is_list(f.type) and values[0] is not None:  # token arrays of one length
+            flat = np.concatenate(values) if len(values[0]) else np.empty(0, np.int32)
+            columns.append(pa.ListArray.from_arrays(np.arange(len(values) + 1, dtype=np.int32) * len(values[0]), pa.array(flat, pa.int32())))
+        else:
+            columns.append(pa.array(values, f.type))
+    return pa.RecordBatch.from_arrays(columns, schema=ARROW)
+
+
+def _tokens(batch: pa.RecordBatch, name: str, length: int) -> np.ndarray:
+    """Rows x ``length`` of a column of token arrays; ValueError if one has another length."""
+    column = batch.column(name)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    if column.null_count or not (pc.list_value_length(column).to_numpy(zero_copy_only=False) == length).all():
+        raise ValueError(f"{name} must have length {length} in each row")
+    return flat.astype(np.int32, copy=False).reshape(len(column), length)
+
+
+class ShardSink(DataSourceArrowWriter):
     """Each task writes whole shards under temporary names; the driver renames them when all tasks are done."""
 
     def __init__(self, options: dict, names: list[str], overwrite: bool):
@@ -117,7 +155,7 @@ class ShardSink(DataSourceWriter):
         self.alignment = int(options.get("alignment_bytes", "64"))
         self.mark = f".tmp-{uuid.uuid4().hex}"
 
-    def write(self, iterator: Iterator) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         os.makedirs(self.folder, exist_ok=True)
         done, writer, current, attempt = [], None, None, uuid.uuid4().hex[:8]
         kind = np.uint8 if self.version == 2 else np.dtype("<f4")
@@ -127,16 +165,19 @@ class ShardSink(DataSourceWriter):
                 done.append((current, writer.path, *writer.close()))
 
         try:
-            for row in iterator:
-                row = row.asDict()
-                if row["shard_id"] != current:
-                    finish()
-                    current = row["shard_id"]
-                    if any(current == d[0] for d in done):
-                        raise ValueError("rows of a shard must follow each other; use write_shards")
-                    writer = ShardWriter(os.path.join(self.folder, f"{self.mark}-{attempt}-{current}"), self.channels, self.height, self.width, self.token_length, self.version, self.lz4, self.alignment)
-                pixels = np.frombuffer(row["image"], kind).reshape(row["channels"], row["height"], row["width"])
-                writer.add(Record(pixels, row["q_ids"], row["q_mask"], row["a_ids"], row["a_mask"], row["metadata"] or "{}", row["orig_height"], row["orig_width"]))
+            for batch in iterator:
+                plain = {c: batch.column(c).to_pylist() for c in ("shard_id", "channels", "height", "width", "orig_height", "orig_width", "metadata")}
+                image = batch.column("image")
+                arrays = [_tokens(batch, c, self.token_length) for c in ("q_ids", "q_mask", "a_ids", "a_mask")]
+                for i, (shard, c, h, w, oh, ow, meta) in enumerate(zip(*plain.values())):
+                    if shard != current:
+                        finish()
+                        current = shard
+                        if any(current == d[0] for d in done):
+                            raise ValueError("rows of a shard must follow each other; use write_shards")
+                        writer = ShardWriter(os.path.join(self.folder, f"{self.mark}-{attempt}-{current}"), self.channels, self.height, self.width, self.token_length, self.version, self.lz4, self.alignment)
+                    pixels = np.frombuffer(image[i].as_buffer(), kind).reshape(c, h, w)
+                    writer.add(Record(pixels, *(a[i] for a in arrays), meta or "{}", oh, ow))
             finish()
         except BaseException:
             if writer is not None:

@@ -50,6 +50,16 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, for work that costs far more than its input's bytes tell.
+
+    A small table may be one file and so one task. Tables of as many tasks as
+    cores, which is all that are large, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a path of the shared folder, if it is there."""
     jvm = spark.sparkContext._jvm
