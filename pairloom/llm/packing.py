@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.tokens import TOKENIZERS, VOCABULARY, token_count
-from pairloom.storage import materialize
+from pairloom.storage import materialize, spread
 
 #: More container sizes than this are refused; their plans are held on the driver.
 MOST_SPECS = 1000
@@ -84,7 +84,7 @@ def lay_out(counts: dict[int, int], capacity: int) -> pd.DataFrame:
 
 def sized(documents: DataFrame, text: str = "text", id_col: str = "doc_id", keep: tuple[str, ...] = (), folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
     """(id, tokens, ..) of each row, counted once and written to the shared folder."""
-    return materialize(documents.select(id_col, *keep, token_count(F.col(text), folder, vocabulary).alias("tokens")), "token-sizes")
+    return materialize(spread(documents.select(id_col, *keep, text)).select(id_col, *keep, token_count(F.col(text), folder, vocabulary).alias("tokens")), "token-sizes")
 
 
 def pieces(sizes: DataFrame, specs: DataFrame, id_col: str = "doc_id") -> DataFrame:

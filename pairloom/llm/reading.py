@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.storage import spread
+
 #: Lengths of the nested lists of frequent words.
 LISTS = (25, 50, 75, 100, 150, 200, 300, 400, 500, 600)
 #: Least number of words that a document must have to be given a band.
@@ -157,7 +159,7 @@ def reading_levels(documents: DataFrame, graded: DataFrame, text: str = "text",
     and texts without Latin words have no row. Rows of equal id give a row each.
     """
     told = F.coalesce(F.lower(F.trim(F.col(kind))) != "log", F.lit(True)) if kind else F.lit(True)
-    texts = documents.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), told.alias("told"), F.col(text).alias("text"))
+    texts = spread(documents.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), told.alias("told"), F.col(text).alias("text")))
     formula = fit(graded, frequent_words(texts.select("told", "text")))
     shared = documents.sparkSession.sparkContext.broadcast(formula)
     of = documents.schema[id_col].dataType.simpleString()

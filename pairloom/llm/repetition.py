@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from pairloom.llm.sampling import lowest_hashes
+from pairloom.storage import spread
 
 _SENTENCE = re.compile(r"[.!?…。！？\n\r;]+")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -221,7 +222,7 @@ def repetition(df: DataFrame, id_col: str = "row_index", answer: str = "answer",
     Null, empty and letterless texts are no cases. Texts are measured whole.
     Repeated rows give a row each; other columns are not read.
     """
-    texts = texts_of(df, id_col, answer, metadata, entry).where("text is not null")
+    texts = texts_of(spread(df.select(id_col, answer, metadata)), id_col, answer, metadata, entry).where("text is not null")
     cutoffs = cutoffs or fit_cutoffs(df, id_col, answer, metadata, entry)
     lowest = min([cutoffs.default, *cutoffs.by_stratum.values()])
     possible = texts.where(bound_of_share(F.col("text")) > lowest).withColumn("cutoff", cutoffs.column(F.col("field_name"), writing(F.col("text"))))
