@@ -41,7 +41,8 @@ def image_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written(spark: SparkSession, sf_dir: str, compression: str | None, shuffling: str = "none") -> tuple[str, DataFrame]:
     c = PipelineConfig(tokenizer=TOKENS, shuffling=shuffling, shard=ShardConfig(max_samples_per_shard=1000, compression=compression))
-    done = materialize(assigned(process.processed(_samples(spark, sf_dir), c).where("error is null"), c), "processed")
+    good = materialize(process.processed(_samples(spark, sf_dir), c), "processed").where("error is null")
+    done = materialize(assigned(good, c), "assigned")
     folder = _shared(spark, "shards")
     write_shards(done, folder, token_length=32, compression=compression or "none")
     return folder, done

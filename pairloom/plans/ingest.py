@@ -100,8 +100,10 @@ def detokenize_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids back to text through the vocabulary of all questions."""
     s = table(spark, sf_dir, "samples").select("row_index", tokens(F.col("question")).alias("t"))
     flat = s.select("row_index", F.posexplode("t").alias("pos", "tok")).withColumn("id", token_id(F.col("tok")))
-    vocabulary = flat.groupBy("id").agg(F.min("tok").alias("word"))
-    back = flat.select("row_index", "pos", "id").join(vocabulary, "id").groupBy("row_index").agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("w"))
+    salts = 16  # a frequent word is looked up in many tasks
+    vocabulary = flat.groupBy("id").agg(F.min("tok").alias("word")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    looked = flat.select("row_index", "pos", "id", F.pmod(F.xxhash64("row_index", "pos"), F.lit(salts)).cast("int").alias("salt"))
+    back = looked.join(vocabulary, ["id", "salt"]).groupBy("row_index").agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("w"))
     return back.select("row_index", F.array_join(F.transform("w", lambda x: x["word"]), " ").alias("text"))
 
 
