@@ -7,26 +7,31 @@ Nothing is kept on one machine only and ``localCheckpoint`` is never used.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share.
 
-    The session's ``spark.checkpoint.dir`` wins. Only where it is unset (local
-    tests) a temporary folder is made and remembered in the session.
+    The session's ``spark.checkpoint.dir`` wins. Only where it is unset, and all
+    executors are threads of this machine (tests), a temporary folder is made, one
+    for each application.
     """
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="pairloom-")
-        spark.conf.set(CHECKPOINT_CONF, base)
+        if context.applicationId not in _OWN:
+            _OWN[context.applicationId] = tempfile.mkdtemp(prefix="pairloom-")
+        base = _OWN[context.applicationId]
     return base.rstrip("/")
 
 
