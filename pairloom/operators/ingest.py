@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from pairloom.functions.text import has_text
 
@@ -12,10 +13,24 @@ DEFAULT_MAPPING = {"image": "image", "question": "question", "answer": "model_an
 
 
 def map_columns(df: DataFrame, mapping: dict[str, str] | None = None, row_index: str = "row_index") -> DataFrame:
-    """Canonical columns of a source; columns that the source lacks are null strings."""
+    """Canonical columns of a source; columns that the source lacks are null strings.
+
+    An image may be bytes or a structure with a field ``bytes``; of a question or
+    answer that is a list, the first entry is taken.
+    """
     mapping = {**DEFAULT_MAPPING, **(mapping or {})}
-    have = set(df.columns)
-    return df.select(F.col(row_index).alias("row_index"), *[(F.col(s) if s in have else F.lit(None).cast("string")).alias(c) for c, s in mapping.items()])
+    return df.select(F.col(row_index).alias("row_index"), *[_canonical(df, c, s).alias(c) for c, s in mapping.items()])
+
+
+def _canonical(df: DataFrame, name: str, source: str) -> Column:
+    if source not in df.columns:
+        return F.lit(None).cast("string")
+    kind, value = df.schema[source].dataType, F.col(source)
+    if name == "image" and isinstance(kind, StructType) and "bytes" in kind.names:
+        return value["bytes"]
+    if name in ("question", "answer") and isinstance(kind, ArrayType):
+        return F.get(value, F.lit(0))
+    return value
 
 
 def sample_id(id_: Column, row_index: Column) -> Column:

@@ -85,7 +85,9 @@ def processed(samples: DataFrame, config: PipelineConfig) -> DataFrame:
     t = config.tokenizer
     with_ids = decoded(spread(samples), config.image, fail_fast=config.fail_fast).withColumns({"q": ids_of(F.col("question"), t), "a": ids_of(F.col("answer"), t)})
     n = t.max_length
-    meta = F.to_json(F.map_concat(F.coalesce(F.col("metadata"), F.create_map().cast("map<string,string>")), F.create_map(F.lit("sample_id"), F.col("sample_id"))))
+    own = {"sample_id": F.col("sample_id"), "orig_height": F.col("pixels.orig_height").cast("string"), "orig_width": F.col("pixels.orig_width").cast("string")}
+    given = F.map_filter(F.coalesce(F.col("metadata"), F.create_map().cast("map<string,string>")), lambda k, v: ~k.isin(*own))
+    meta = F.to_json(F.map_concat(given, F.create_map(*[x for k, v in own.items() for x in (F.lit(k), v)])))
     return with_ids.select(
         "row_index", "sample_id", "pixels.*", padded(F.col("q"), n).alias("q_ids"), mask(F.col("q"), n).alias("q_mask"), padded(F.col("a"), n).alias("a_ids"), mask(F.col("a"), n).alias("a_mask"),
         F.least(F.size("q"), F.lit(n)).alias("q_len"), F.least(F.size("a"), F.lit(n)).alias("a_len"), meta.alias("metadata"),

@@ -76,6 +76,8 @@ def test_mapping_and_fallback(spark):
     df = spark.createDataFrame([(3, "pic", None), (4, "pic2", "x")], "row_index bigint, image string, ident string")
     got = ingest.map_columns(df, {"id": "ident"}).select("row_index", ingest.sample_id(F.col("id"), F.col("row_index")).alias("s"), "reasoning").orderBy("row_index").collect()
     assert [(r.s, r.reasoning) for r in got] == [("row_3", None), ("x", None)]
+    nested = spark.createDataFrame([(1, (b"x", "p"), ["first", "second"]), (2, None, []), (3, (None, "p"), None)], "row_index bigint, image struct<bytes: binary, path: string>, model_answer array<string>")
+    assert [(r.image, r.answer) for r in ingest.map_columns(nested).orderBy("row_index").collect()] == [(b"x", "first"), (None, None), (None, None)]
     empty = spark.createDataFrame([], "a int")
     assert ingest.first_with_rows([lambda: spark.read.parquet("/nowhere"), lambda: empty, lambda: df]).count() == 2
     with pytest.raises(ValueError):

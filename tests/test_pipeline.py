@@ -46,6 +46,7 @@ def test_counts_and_content(spark, tmp_path):
     assert ids == [f"sample_{i}" for i in range(25) if i not in (2, 7)]
     i = int(ids[4].split("_")[1])
     assert bytes(rows[4].image) == bytes([i * 9 % 256]) * 256 + bytes(256) + bytes([255 - i]) * 256
+    assert json.loads(rows[4].metadata)["orig_width"] == "16"
     assert sum(rows[4].q_mask) == 2 and sum(rows[4].a_mask) == 4 and json.loads(rows[4].metadata)["k"] == f"v{i}"
 
 
