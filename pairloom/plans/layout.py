@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pairloom.functions import geometry, layout
 from pairloom.functions.text import has_text, mask, padded, token_ids
 from pairloom.operators import ingest, loader, manifest, ordering, shards
+from pairloom.storage import materialize
 from pairloom.tables import table
 
 SEED, EPOCH, BATCH, WORLD, BLOCK, BUCKETS = 42, 3, 32, 4, 1024, 6
@@ -24,6 +25,11 @@ def sample_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "samples").select("row_index", F.col("image_width").alias("w"), F.col("image_height").alias("h"))
 
 
+def valid_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of valid samples, written once: the checks read the image bytes, and a position needs its rows twice."""
+    return materialize(ingest.valid(table(spark, sf_dir, "samples")).select("row_index"), "valid-ids")
+
+
 def resize_and_pad_geometry(spark, sf_dir):
     return dims(spark, sf_dir).select("id", *[v.alias(k) for k, v in geometry.resize_and_pad(F.col("w"), F.col("h"), TARGET, TARGET).items()])
 
@@ -80,13 +86,12 @@ def block_shuffle(spark, sf_dir):
 
 
 def shard_assign_streaming(spark, sf_dir):
-    s = ordering.sequential(ingest.with_errors(table(spark, sf_dir, "samples")).select("row_index", "errors"), "row_index")
-    return shards.assign_before_errors(s, 100, F.size("errors") == 0).select("row_index", "shard_id", "local_index")
+    checked = materialize(ingest.with_errors(table(spark, sf_dir, "samples")).select("row_index", (F.size("errors") == 0).alias("ok")), "checked-ids")
+    return shards.assign_before_errors(ordering.sequential(checked, "row_index"), 100, F.col("ok")).select("row_index", "shard_id", "local_index")
 
 
 def shard_assign_compact(spark, sf_dir):
-    s = ingest.valid(table(spark, sf_dir, "samples")).select("row_index")
-    return shards.assign_after_errors(s, "row_index", 100).select("row_index", "shard_id", "local_index")
+    return shards.assign_after_errors(valid_ids(spark, sf_dir), "row_index", 100).select("row_index", "shard_id", "local_index")
 
 
 def shard_assign_by_size(spark, sf_dir):
@@ -162,8 +167,6 @@ def address_table(spark, sf_dir):
 
 
 def _addressed(spark, sf_dir):
-    from pairloom.storage import materialize
-
     return materialize(loader.address_table(table(spark, sf_dir, "shard_records")), "addresses")
 
 
@@ -186,14 +189,12 @@ def verify_partition(spark, sf_dir):
 
 
 def epoch_batches(spark, sf_dir):
-    s = ingest.valid(table(spark, sf_dir, "samples")).select("row_index")
-    e = loader.epoch_batches(s, "row_index", SEED, EPOCH, BATCH)
+    e = loader.epoch_batches(valid_ids(spark, sf_dir), "row_index", SEED, EPOCH, BATCH)
     return loader.with_rank(e, "position", F.lit(0), WORLD, "interleaved").select("row_index", "position", "batch_id", "rank")
 
 
 def checkpoint_resume(spark, sf_dir):
-    s = ingest.valid(table(spark, sf_dir, "samples")).select("row_index")
-    return loader.resume(loader.epoch_batches(s, "row_index", SEED, EPOCH, BATCH), 100).select("row_index", "batch_id")
+    return loader.resume(loader.epoch_batches(valid_ids(spark, sf_dir), "row_index", SEED, EPOCH, BATCH), 100).select("row_index", "batch_id")
 
 
 def point_lookup(spark, sf_dir):
