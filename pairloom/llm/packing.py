@@ -92,7 +92,11 @@ def pieces(sizes: DataFrame, specs: DataFrame, id_col: str = "doc_id") -> DataFr
     rows = specs.limit(MOST_SPECS + 1).collect()
     if len(rows) > MOST_SPECS:
         raise ValueError(f"more than {MOST_SPECS} container sizes")
-    listed = sorted({(int(r[0]), int(r[1])) for r in rows if r[0] is not None and r[1] is not None and r[1] > 0})
+    largest: dict[int, int] = {}
+    for r in rows:
+        if r[0] is not None and r[1] is not None and r[1] > 0:
+            largest[int(r[0])] = max(int(r[1]), largest.get(int(r[0]), 0))
+    listed = sorted(largest.items())
     each = F.array(*[F.struct(F.lit(s).alias("spec_id"), F.lit(c).cast("long").alias("capacity")) for s, c in listed]) if listed else F.expr("cast(array() as array<struct<spec_id:int,capacity:bigint>>)")
     row = sizes.where("tokens > 0").select(id_col, "tokens", F.explode(each).alias("s")).select(id_col, "tokens", "s.*")
     return row.select(
@@ -108,8 +112,8 @@ def pack(documents: DataFrame, specs: DataFrame, text: str = "text", id_col: str
 
     A text is split only if it exceeds the capacity. Null and blank texts have no
     tokens and lie nowhere: they have no row. Rows of equal id are different
-    texts. Capacities that are null or not positive are left out. Empty tables
-    give an empty result. ``per_step`` containers make a step group; ``tier`` is 0
+    texts. Capacities that are null or not positive are left out; of a spec_id that is
+    listed again the largest capacity counts. Empty tables give an empty result. ``per_step`` containers make a step group; ``tier`` is 0
     for pieces of more than half a container, 1 for more than a quarter, and so on.
     """
     spark = documents.sparkSession

@@ -132,13 +132,13 @@ class Formula:
         return x @ self.weights + self.offsets
 
 
-def fit(graded: DataFrame, frequent: list[str], passage: str = "passage", band: str = "band") -> Formula:
-    """Weights from passages of known band: equal spread in all bands, one centre for each."""
+def fit(graded: DataFrame, frequent: list[str], passage: str = "passage", band: str = "band") -> Formula | None:
+    """Weights from passages of known band: equal spread in all bands, one centre for each. None without passages."""
     rank = {w: i for i, w in enumerate(frequent)}
     rows = graded.where(F.col(passage).isNotNull() & F.col(band).isNotNull()).select(F.col(passage).alias("p"), F.col(band).alias("b")).limit(MOST_GRADED).collect()
     rows = [r for r in rows if words(r.p)]
     if not rows:
-        raise ValueError("no graded passage to fit the formula to")
+        return None
     x = np.array([features(Counter(words(clean(r.p))), sentences(clean(r.p)), rank) for r in rows])
     y = np.array([r.b for r in rows])
     bands = tuple(sorted(set(y.tolist())))
@@ -157,12 +157,15 @@ def reading_levels(documents: DataFrame, graded: DataFrame, text: str = "text",
     the likeliest. ``prose``: English running text of at least 60 words, not of
     kind 'log'; only these are comparable with the graded passages. Null texts
     and texts without Latin words have no row. Rows of equal id give a row each.
+    Without graded passages there is no level and the result is empty.
     """
     told = F.coalesce(F.lower(F.trim(F.col(kind))) != "log", F.lit(True)) if kind else F.lit(True)
     texts = spread(documents.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), told.alias("told"), F.col(text).alias("text")))
     formula = fit(graded, frequent_words(texts.select("told", "text")))
+    schema = f"`{id_col}` {documents.schema[id_col].dataType.simpleString()}, words int, unfamiliar double, mean_sentence double, level double, band int, prose boolean"
+    if formula is None:
+        return documents.sparkSession.createDataFrame([], schema)
     shared = documents.sparkSession.sparkContext.broadcast(formula)
-    of = documents.schema[id_col].dataType.simpleString()
     middle = LISTS.index(LISTS[-3])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -185,4 +188,4 @@ def reading_levels(documents: DataFrame, graded: DataFrame, text: str = "text",
             ids, n, good = zip(*rows)
             yield pd.DataFrame({id_col: list(ids), "words": n, "unfamiliar": x[:, middle], "mean_sentence": np.exp(x[:, -1]), "level": p @ bands, "band": bands[z.argmax(1)], "prose": good})
 
-    return texts.mapInPandas(run, f"`{id_col}` {of}, words int, unfamiliar double, mean_sentence double, level double, band int, prose boolean")
+    return texts.mapInPandas(run, schema)

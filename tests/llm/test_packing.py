@@ -53,7 +53,7 @@ def run(spark, docs, specs, **options):
 
 @pytest.mark.parametrize("per_salt", [500_000, 1])
 def test_round_trip(spark, per_salt):
-    got, tokens = run(spark, DOCS, [(1, 8), (2, 500), (3, 10_000), (4, None), (5, 0)], rows_per_salt=per_salt)
+    got, tokens = run(spark, DOCS, [(1, 8), (1, 4), (2, 500), (2, 500), (3, 10_000), (4, None), (5, 0), (None, 7)], rows_per_salt=per_salt)
     for spec, capacity in ((1, 8), (2, 500), (3, 10_000)):
         mine = [r for r in got if r.spec_id == spec]
         filled = defaultdict(int)

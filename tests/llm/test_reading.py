@@ -56,6 +56,9 @@ def test_edge_cases(spark):
     assert {r.doc_id for r in got} == {1, 4, 5, 6, 7, 8, 9, None}
     assert all(r.band in (1, 2, 3, 4) and 1 <= r.level <= 4 for r in got)
     assert reading.reading_levels(df.limit(0), g).count() == 0
+    assert reading.reading_levels(df, g.limit(0)).count() == 0
+    one = reading.reading_levels(df, g.where("band = 2")).collect()
+    assert {r.band for r in one} == {2}
 
 
 def test_documents_agree_with_their_language(spark):
