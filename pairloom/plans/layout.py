@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.config import TokenizerConfig
 from pairloom.functions import geometry, layout
 from pairloom.functions.text import has_text, mask, padded, token_ids
 from pairloom.operators import ingest, loader, manifest, ordering, shards
@@ -13,6 +14,7 @@ from pairloom.tables import table
 
 SEED, EPOCH, BATCH, WORLD, BLOCK, BUCKETS = 42, 3, 32, 4, 1024, 6
 TARGET, LONGEST = 384, 384
+TOKENS = TokenizerConfig().max_length
 
 
 def dims(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +238,7 @@ def padding_waste(spark, sf_dir):
 
 def batch_token_trim(spark, sf_dir):
     s = table(spark, sf_dir, "samples").where(has_text(F.col("question")) & has_text(F.col("answer")))
-    m = s.select("row_index", mask(token_ids(F.col("question")), 64).alias("q"), mask(token_ids(F.col("answer")), 64).alias("a"))
+    m = s.select("row_index", mask(token_ids(F.col("question")), TOKENS).alias("q"), mask(token_ids(F.col("answer")), TOKENS).alias("a"))
     return loader.token_trim(loader.epoch_batches(m, "row_index", SEED, EPOCH, BATCH), "q", "a")
 
 
