@@ -13,8 +13,8 @@ binomial (Clopper-Pearson) bound on the rate of false rejections stays under
 ``risk``. Cutoffs are tested in a fixed sequence from strict to lenient, the
 error probability is divided by the number of strata (Bonferroni).
 
-A JVM expression gives an upper bound of the share (the part of the text that is
-in repeated words), and only texts that can pass the cutoff reach Python.
+Every text is measured in Python. Words are no bound of the share: letters repeat
+across spacing, inside words and in scripts without spaces.
 """
 
 from __future__ import annotations
@@ -91,17 +91,6 @@ def repeated_share(text: str | None) -> float:
     return marks.count(1) / n
 
 
-def bound_of_share(text: Column) -> Column:
-    """Upper bound of :func:`repeated_share`, in JVM expressions: the part of the text in repeated words.
-
-    Words of 12 letters or more may repeat inside themselves and count in full.
-    """
-    words = F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " "), " "), lambda w: w != "")
-    total = F.length(F.array_join(words, ""))
-    fresh = F.length(F.array_join(F.filter(F.array_distinct(words), lambda w: F.length(w) < 12), ""))
-    return F.when(total > 0, 1 - fresh / total).otherwise(F.lit(0.0))
-
-
 def writing(text: Column) -> Column:
     """The stratum's writing: 'cjk', 'cyrillic', 'marked' (Latin with Vietnamese letters) or 'latin'."""
     return reduce(lambda other, w: F.when(text.rlike(w[1]), w[0]).otherwise(other), reversed(WRITINGS), F.lit("latin"))
@@ -224,8 +213,7 @@ def repetition(df: DataFrame, id_col: str = "row_index", answer: str = "answer",
     """
     texts = texts_of(spread(df.select(id_col, answer, metadata)), id_col, answer, metadata, entry).where("text is not null")
     cutoffs = cutoffs or fit_cutoffs(df, id_col, answer, metadata, entry)
-    lowest = min([cutoffs.default, *cutoffs.by_stratum.values()])
-    possible = texts.where(bound_of_share(F.col("text")) > lowest).withColumn("cutoff", cutoffs.column(F.col("field_name"), writing(F.col("text"))))
+    measured = texts.withColumn("cutoff", cutoffs.column(F.col("field_name"), writing(F.col("text"))))
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -233,4 +221,4 @@ def repetition(df: DataFrame, id_col: str = "row_index", answer: str = "answer",
             share = pdf["text"].map(repeated_share).astype("float64")
             yield pdf.assign(share=share)[share > pdf["cutoff"]][[id_col, "field_name", "share", "cutoff"]]
 
-    return possible.mapInPandas(run, f"`{id_col}` {kind}, field_name string, share double, cutoff double")
+    return measured.mapInPandas(run, f"`{id_col}` {kind}, field_name string, share double, cutoff double")
