@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.config import ImageConfig, PipelineConfig, ShardConfig, TokenizerConfig
+from pairloom.config import ImageConfig, PipelineConfig, ShardConfig
 from pairloom.operators import delivery, ingest, manifest, ordering, process, shards
 from pairloom.pipeline import assigned
 from pairloom.sources.shards import read_shards, write_shards
@@ -13,8 +13,6 @@ from pairloom.storage import materialize, new_path, spread
 from pairloom.streaming.arrivals import arrivals
 from pairloom.tables import table
 
-TOKENS = TokenizerConfig(max_length=32)
-
 
 def _shared(spark: SparkSession, name: str) -> str:
     """A folder that executors see under the same path."""
@@ -40,11 +38,11 @@ def image_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written(spark: SparkSession, sf_dir: str, compression: str | None, shuffling: str = "none") -> tuple[str, DataFrame]:
-    c = PipelineConfig(tokenizer=TOKENS, shuffling=shuffling, shard=ShardConfig(max_samples_per_shard=1000, compression=compression))
+    c = PipelineConfig(shuffling=shuffling, shard=ShardConfig(max_samples_per_shard=1000, compression=compression))
     good = materialize(process.processed(_samples(spark, sf_dir), c), "processed").where("error is null")
     done = materialize(assigned(good, c), "assigned")
     folder = _shared(spark, "shards")
-    write_shards(done, folder, token_length=32, compression=compression or "none")
+    write_shards(done, folder, token_length=c.tokenizer.max_length, compression=compression or "none")
     return folder, done
 
 

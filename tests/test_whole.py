@@ -33,3 +33,12 @@ def test_token_trim_keeps_long_answers(spark):
     want = {i: max(1, *(min(512, len(words(t))) for r in b for t in (r.question, r.answer))) for i, b in enumerate(batches_of(has))}
     got = {r.batch_id: r.tokens_kept for r in catalog.queries()["batch_token_trim"](spark, DATA).collect()}
     assert got == want and max(want.values()) > 64
+
+
+def test_shards_hold_whole_answers(spark):
+    q = catalog.queries()
+    longest = max(len(words(r.answer)) for r in spark.read.parquet(f"{DATA}/samples.parquet").select("answer").collect())
+    assert 32 < max(r.tokens for r in q["collate_dynamic"](spark, DATA).select("tokens").collect()) <= longest
+    assert all(r.rec_len > 16 * 512 for r in q["shard_lookup"](spark, DATA).collect())
+    d = q["shard_files"](spark, DATA).toPandas()
+    assert (d["size_bytes"] > 16 * 512 * d["sample_count"]).all()
