@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.config import TokenizerConfig
+from pairloom.config import ImageConfig, TokenizerConfig
 from pairloom.functions import geometry, layout
-from pairloom.functions.text import has_text, mask, padded, token_ids
-from pairloom.operators import ingest, loader, manifest, ordering, shards
+from pairloom.functions.text import has_text, mask, token_ids
+from pairloom.operators import ingest, loader, manifest, ordering, process, shards
 from pairloom.storage import materialize
 from pairloom.tables import table
 
@@ -243,11 +247,34 @@ def batch_token_trim(spark, sf_dir):
 
 
 def collate_fixed(spark, sf_dir):
-    """Token ids of each batch side by side, in the order of positions."""
-    s = table(spark, sf_dir, "samples").select("row_index", padded(token_ids(F.col("question")), 8).alias("ids"))
+    """Token arrays and pixels of each batch side by side, in the order of positions, by their checksums.
+
+    Pixels are moved as stored bytes, and brought to one size where a batch is
+    collated; an image that cannot be decoded is 0 there and does not count as one.
+    """
+    s = table(spark, sf_dir, "samples").select("row_index", "image_bytes", token_ids(F.col("question")).alias("q"), token_ids(F.col("answer")).alias("a"))
     b = loader.epoch_batches(s, "row_index", SEED, EPOCH, BATCH)
-    rows = F.array_sort(F.collect_list(F.struct("position", "ids")))
-    return b.groupBy("batch_id").agg(rows.alias("r")).select("batch_id", F.size("r").alias("batch_size"), F.md5(F.array_join(F.flatten(F.transform("r", lambda x: x["ids"])), ",")).alias("ids_md5"))
+    c = ImageConfig(storage_dtype="float32", dynamic_padding=False)
+    empty = np.zeros((3, *c.target_size), np.float32).tobytes()
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("position", kind="stable")
+        row: dict[str, object] = {"batch_id": group["batch_id"].iloc[0], "batch_size": len(group)}
+        for name in "qa":
+            ids, mask_ = np.zeros((2, len(group), TOKENS), np.int32)
+            for i, tokens in enumerate(group[name]):
+                n = min(len(tokens), TOKENS)
+                ids[i, :n], mask_[i, :n] = tokens[:n], 1
+            for kind, values in (("ids", ids), ("mask", mask_)):
+                row[f"{name}_{kind}_md5"] = hashlib.md5(",".join(map(str, values.ravel().tolist())).encode()).hexdigest()
+        images = [process.image_record(x, c)[0] for x in group["image_bytes"]]
+        pixels = hashlib.md5()
+        for image in images:
+            pixels.update(empty if image is None else image)
+        return pd.DataFrame([row | {"images": sum(x is not None for x in images), "pixels_md5": pixels.hexdigest()}])
+
+    schema = "batch_id bigint, batch_size bigint, q_ids_md5 string, q_mask_md5 string, a_ids_md5 string, a_mask_md5 string, images bigint, pixels_md5 string"
+    return b.select("batch_id", "position", "image_bytes", "q", "a").groupBy("batch_id").applyInPandas(run, schema)
 
 
 QUERIES = [

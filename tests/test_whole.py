@@ -7,6 +7,8 @@ import os
 
 import pytest
 
+from pairloom.config import ImageConfig
+from pairloom.operators.process import image_record
 from pairloom.plans import catalog
 
 DATA = "/root/testdata/sf0.001"
@@ -42,3 +44,24 @@ def test_shards_hold_whole_answers(spark):
     assert all(r.rec_len > 16 * 512 for r in q["shard_lookup"](spark, DATA).collect())
     d = q["shard_files"](spark, DATA).toPandas()
     assert (d["size_bytes"] > 16 * 512 * d["sample_count"]).all()
+
+
+def test_collate_fixed_moves_everything(spark):
+    token = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:7], 16)
+    c = ImageConfig(storage_dtype="float32", dynamic_padding=False)
+    s = spark.read.parquet(f"{DATA}/samples.parquet").select("row_index", "question", "answer", "image_bytes").collect()
+    got = {r.batch_id: r.asDict() for r in catalog.queries()["collate_fixed"](spark, DATA).collect()}
+    made = batches_of(s)
+    assert sorted(got) == list(range(len(made)))
+    for i, b in enumerate(made):
+        assert got[i]["batch_size"] == len(b)
+        for name, texts in (("q", [r.question for r in b]), ("a", [r.answer for r in b])):
+            rows = [words(t)[:512] for t in texts]
+            ids = ",".join(str(x) for w in rows for x in [*map(token, w), *[0] * (512 - len(w))])
+            mask = ",".join(str(x) for w in rows for x in [1] * len(w) + [0] * (512 - len(w)))
+            assert got[i][f"{name}_ids_md5"] == hashlib.md5(ids.encode()).hexdigest()
+            assert got[i][f"{name}_mask_md5"] == hashlib.md5(mask.encode()).hexdigest()
+        if i in (0, len(made) - 1):
+            images = [image_record(r.image_bytes, c)[0] for r in b]
+            assert got[i]["images"] == sum(x is not None for x in images)
+            assert got[i]["pixels_md5"] == hashlib.md5(b"".join(x or bytes(3 * 384 * 384 * 4) for x in images)).hexdigest()
