@@ -65,3 +65,8 @@ def test_collate_fixed_moves_everything(spark):
             images = [image_record(r.image_bytes, c)[0] for r in b]
             assert got[i]["images"] == sum(x is not None for x in images)
             assert got[i]["pixels_md5"] == hashlib.md5(b"".join(x or bytes(3 * 384 * 384 * 4) for x in images)).hexdigest()
+
+
+def test_image_fit_has_the_default_size(spark):
+    sizes = {(r.height, r.width) for r in catalog.queries()["image_fit"](spark, DATA).select("height", "width").collect()}
+    assert sizes - {(None, None)} == {(384, 384)}
