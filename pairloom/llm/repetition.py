@@ -279,7 +279,9 @@ def fit_cutoffs(df: DataFrame, id_col: str, answer: str, metadata: str, entry: s
     The sentences come from at most ``rows`` rows, those of lowest hash, whatever
     the size of the corpus; each stratum of eight sentences or more gets ``size``
     composed texts. The pooled holdouts decide for the others, as a test of its
-    own. What cannot be certified has the strictest cutoff.
+    own. A holdout that fails at each cutoff gives the strictest one; where there is
+    too little to certify anything, the definition's one half holds and the
+    certificate shows a bound above ``risk``.
     """
     few = lowest_hashes(df.select(F.col(id_col), F.col(answer).alias("answer"), F.element_at(F.col(metadata), entry).alias("metadata")), rows, seed, F.col(id_col))
     sample = [Row(field_name=f, kind=writing_of(r[f]), text=r[f]) for r in few for f in ("answer", "metadata") if r[f]]
@@ -297,7 +299,8 @@ def fit_cutoffs(df: DataFrame, id_col: str, answer: str, metadata: str, entry: s
     cutoffs, certificates = {}, []
     for k, values in tests.items():
         cut = certified_cutoff(values, risk, share_of_error, grid)
-        cutoffs[k] = grid[0] if cut is None else cut
+        enough = binomial_tail(0, len(values), risk) <= share_of_error
+        cutoffs[k] = cut if cut is not None else grid[0] if enough else grid[-1]
         wrong = sum(x > cutoffs[k] for x in values)
         certificates.append(("/".join(k), len(values), wrong, rate_bound(wrong, len(values), share_of_error), cutoffs[k]))
     return Cutoffs({k: c for k, c in cutoffs.items() if k in ready}, cutoffs["pooled", "all"], tuple(certificates))
