@@ -7,6 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pairloom.llm import lookalikes
+from pairloom.llm.confusables import look_alikes
 from pairloom.llm.lookalikes import canonical, canonical_columns, changed_texts, resolved
 
 CASES = [
@@ -84,3 +86,40 @@ def test_nothing_is_missed_by_the_jvm_test(spark):
             if canonical(t, o) != t:
                 want.add((r.row_index, f))
     assert want == {(r.row_index, r.field_name) for r in changed_texts(d).collect()} and want
+
+
+UNICODE = [
+    ("ꓮpple pie", "Apple pie"), ("Ꭺpple pie", "Apple pie"), ("ⲟpen it", "open it"), ("ᴀpple ᴘɪᴇ", "apple pie"), ("𝐇ello 𝓽𝓱𝓮𝓻𝓮", "Hello there"), ("hello․world", "hello.world"), ("The ꓡamp", "The Lamp"), ("ᖇed", "Red"),
+    ("𝑥 = 3 and y", None), ("ᏣᎳᎩ is a word", None), ("said /ˈbɪɡ/ aloud", None), ("ℝ and ℂ are sets", None), ("الCEO", None), ("LEDライト", None), ("ꓡꓲꓢꓴ", None),
+]
+
+
+def test_letters_of_unicode_data(spark):
+    """Alphabets that no list here names, and words that are rightly written in them."""
+    df = frame(spark, [(i, t, None, None, None, None) for i, (t, _) in enumerate(UNICODE)])
+    assert {r.row_index: r.canonical for r in changed_texts(df).collect()} == {i: p for i, (_, p) in enumerate(UNICODE) if p}
+
+
+def test_tables(spark):
+    found = look_alikes(spark)
+    assert len(found) > 150 and all(v.isascii() and v.isalpha() for v in found.values())
+    assert found["ꓮ"] == "A" and found["ꮯ"] == "c" and found["І"] == "I" and found["ӏ"] == "i"
+
+
+def test_each_character_reaches_python(spark):
+    """Each character that the function acts on, beside Latin and beside Cyrillic letters: the JVM test lets through what changes."""
+    shared, pattern = lookalikes._shared(spark.sparkContext)
+    spelling = shared.value
+    texts = [t for c in sorted(spelling.odd) for t in (f"wa{c}ter", f"м{c}й", f"{c} тогда", f"日{c}本 b")]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    through = {r.i for r in df.where(lookalikes.suspicious(df.t, df.t, pattern)).collect()}
+    changed = {i for i, t in enumerate(texts) if spelling.canonical(t, t) != t}
+    assert changed <= through and len(changed) > 5_000
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab оеіаѕ αο ꓮᴀ𝐇․ⲟɡ жя ́"), max_size=24))
+def test_fixpoint_with_more_alphabets(text):
+    spelling = lookalikes.Spelling({"ꓮ": "A", "ⲟ": "o"}, frozenset("оеіаѕαοжяꓮᴀ𝐇․ⲟɡ́"))
+    once = spelling.canonical(text)
+    assert spelling.canonical(once) == once
