@@ -8,9 +8,11 @@ Ordered rules, each of which emits its defect when it fires:
 4. ``truncated``: an unclosed delimiter, an abrupt ending, or an unfinished sentence or list.
 5. ``wrong_language``: another script or language than the question's, unless asked for.
 
-Rows are independent: there is no shuffle. A small model of which language a word
-speaks for is fitted first on the ``rows`` rows of lowest hash (a documented bound).
-Texts are brought to one spelling (problem 1) before the rules look at them.
+Texts are brought to one spelling (problem 1) before the rules look at them. A small
+model of which language a word speaks for is fitted on the ``rows`` rows of lowest
+hash (a documented bound). Which last words are broken off is decided by word counts
+over all rows. Rows themselves are independent and are not shuffled, unless the
+table of broken words outgrows a broadcast.
 """
 
 from __future__ import annotations
@@ -18,19 +20,19 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.lookalikes import canonical
-from pairloom.llm.sampling import lowest_hashes
-from pairloom.storage import spread
+from pairloom.llm.lookalikes import canonical_columns
+from pairloom.llm.sampling import lowest_hash_rows
+from pairloom.storage import materialize, spread
 
 DEFECTS = ("empty", "copied_question", "refusal", "truncated", "wrong_language")
 
@@ -100,13 +102,85 @@ REFUSALS = [
     # Japanese
     r"お答え(?:は|を)?(?:でき|いたしかね|致しかね|しかね|差し控え|控え)|(?:回答|説明|コメント|お手伝い|描写|ご案内|ご対応|対応|判断|特定)(?:は|を|することは|することが|が|に)?(?:差し控え|控え|でき(?:ません|かね)|いたしかね|致しかね|しかね|許可されて|お断り|辞退)|お断り(?:し|いた|させ)|お手伝いできません|応じられません|許可されていません|申し上げられません|お話しできません|答えられません",
 ]
-#: Cheap necessary conditions: no refusal is without one of these (in lower case).
-_REFUSAL_HINTS = (
-    "cannot|can't|can not|could not|couldn't|unable|not able|won't|will not|permitted|allowed|decline|refuse|guideline|polic|rules|principle|scope|only able|can only|rather|prefer|"
-    "permission|for me to|by me|leave this|leave that|not something|position to|turn this|turn that|"
-    "tôi|từ chối|quy định|chính sách|nguyên tắc|puedo|podr|posible|capaz|debo|tengo que|he de|niego|permi|corresponde|prefiero|alcance|ámbito|normas|reglas|directrices|"
-    "je |m'est|mes |mon |m'appartient|ich|mir |gestattet|erlaubt|meine|не |мне|отказ|воздерж|предпо|вынужден|против|вне моей|ません|かね|控え|断り|許可"
-).split("|")
+
+
+def needed(pattern: str, most: int = 64) -> frozenset[str]:
+    """Literals of which every match of ``pattern`` holds at least one; the empty set if there are none to name.
+
+    Read off the parsed pattern, so that looking for them first loses no match.
+    """
+    best: list[frozenset[str]] = []
+
+    def put(words_: set[str]) -> None:
+        if words_ and all(words_):
+            best.append(frozenset(words_))
+
+    def spelled(items) -> set[str] | None:
+        """All texts that the items match, if they are few and plain."""
+        have = {""}
+        for op, arg in items:
+            name = str(op)
+            if name == "LITERAL":
+                more = {chr(arg)}
+            elif name == "AT":
+                more = {""}
+            elif name == "IN" and all(str(o) == "LITERAL" for o, _ in arg):
+                more = {chr(x) for _, x in arg}
+            elif name == "SUBPATTERN":
+                more = spelled(arg[-1])
+            elif name == "BRANCH":
+                parts = [spelled(x) for x in arg[1]]
+                more = None if None in parts else set().union(*parts)
+            elif name == "MAX_REPEAT" and arg[1] == 1:
+                more = spelled(arg[2])
+                more = None if more is None else more | ({""} if arg[0] == 0 else set())
+            else:
+                more = None
+            if more is None or len(have) * len(more) > most:
+                return None
+            have = {x + y for x in have for y in more}
+        return have
+
+    def walk(items) -> None:
+        run = {""}
+        for item in items:
+            more = spelled([item])
+            if more is not None and len(run) * len(more) <= most:
+                run = {x + y for x in run for y in more}
+                continue
+            put(run)
+            run = {""} if more is None else more
+            if more is None and str(item[0]) == "SUBPATTERN":
+                walk(item[1][-1])
+            elif more is None and str(item[0]) == "BRANCH":
+                parts = [needed_of(x) for x in item[1][1]]
+                if all(parts):
+                    put(set().union(*parts))
+        put(run)
+
+    def needed_of(items) -> frozenset[str]:
+        kept, best[:] = list(best), []
+        walk(items)
+        found = max(best, key=lambda x: (min(map(len, x)), -len(x)), default=frozenset())
+        best[:] = kept
+        return found
+
+    return needed_of(re._parser.parse(pattern))
+
+
+_REFUSAL = [re.compile(r.lower()) for r in REFUSALS]
+
+
+def _by_literal() -> dict[str, tuple[int, ...]]:
+    """Literal -> the patterns that may match where it occurs; "" for those that need none."""
+    out: dict[str, set[int]] = {}
+    for i, r in enumerate(REFUSALS):
+        for w in needed(r.lower()) or {""}:
+            out.setdefault(w, set()).add(i)
+    return {w: tuple(sorted(v)) for w, v in out.items()}
+
+
+_LITERALS = _by_literal()
 
 
 def _automaton():
@@ -114,9 +188,10 @@ def _automaton():
         import ahocorasick
     except ImportError:
         return None
-    found = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for h in _REFUSAL_HINTS:
-        found.add_word(h)
+    found = ahocorasick.Automaton()
+    for w, which in _LITERALS.items():
+        if w:
+            found.add_word(w, which)
     found.make_automaton()
     return found
 
@@ -124,13 +199,19 @@ def _automaton():
 _FOUND = _automaton()
 
 
-def _hinted(low: str) -> bool:
+def _candidates(low: str) -> set[int]:
+    """Patterns that may match in a text of lower case."""
+    out = set(_LITERALS.get("", ()))
     if _FOUND is not None:
-        return next(_FOUND.iter(low), None) is not None
-    return any(h in low for h in _REFUSAL_HINTS)
+        for _, which in _FOUND.iter(low):
+            out.update(which)
+    else:
+        for w, which in _LITERALS.items():
+            if w in low:
+                out.update(which)
+    return out
 
 
-_REFUSAL = re.compile("|".join(f"(?:{r.lower()})" for r in REFUSALS))
 _QUOTED = re.compile(r'"[^"]*"|“[^”]*”|«[^»]*»|„[^“”]*[“”]|「[^」]*」|『[^』]*』')
 _SENTENCE_END = re.compile(r"(?<=[.!?。！？])\s+|\n+|(?<=[。！？])")
 
@@ -143,9 +224,10 @@ DANGLING = frozenset(
     "und oder der die das den dem ein eine einer einem einen mit zu auf im am weil neben von vor unter hinter seiner seinem ihrer ihrem "
     "и или с на у за под в к от до потому что рядом возле перед для о".split()
 )
-_TERMINAL = re.compile(r"[.!?。！？]['\"”’»)\]」』\s]*$")
+_CLOSERS = "'\"”’»)]」』"
 _LIST_LINES = re.compile(r"\n\s*(?:\(?\d{1,3}[.)]|[-*•])\s")
-_LIST_MARK = re.compile(r"(?:^|[\s\n])(?:\(?\d{1,3}[.)]|[-*•])\s*$")
+_LIST_MARK = re.compile(r"\(?\d{1,3}[.)]|[-*•]")
+_LABEL = re.compile(r"\W*(?:question|q|câu(?: hỏi)?|frage|pregunta|вопрос|質問)\s*[:：]", re.I)
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 _PAIRS = {")": "(", "]": "[", "}": "{", "」": "「", "』": "『", "»": "«", "”": "“"}
 _UNSEEN = regex.compile(r"[\p{Z}\p{C}\s]+")
@@ -166,8 +248,6 @@ def is_empty(answer: str | None) -> bool:
     """Null, nothing visible, punctuation only, or a stand-in."""
     if answer is None or not _SHOWN.search(answer):
         return True
-    if len(answer) > 60:
-        return False
     core = _UNSEEN.sub(" ", answer).strip().lower()
     if not _ALNUM.search(core):
         return not _SYMBOL.search(core) or core == "<>"
@@ -180,8 +260,8 @@ def is_copy(question: str, answer: str, q: list[str] | None = None, a: list[str]
     q, a = q or question_words(question), a or words(answer)
     if not a or not q or (len(a) > 2 * len(q) + 3) or (len(q) > 2 * len(a) + 3 and len(q) > 3):
         return False
-    if a[0] in ("question", "q", "câu", "frage", "pregunta", "вопрос", "質問") and ":" in answer[:14]:
-        a = a[2:] if a[:2] == ["câu", "hỏi"] else a[1:]
+    if (label := _LABEL.match(answer)) is not None:
+        a = words(answer[label.end() :]) or a
     if len(q) == 1 and len(a) == 1:  # scripts without spaces
         return similar(q[0], a[0]) >= 0.8 and len(q[0]) > 5 or q == a
     if len(q) < 2 or len(a) < 2:
@@ -219,9 +299,10 @@ def similar(a: str, b: str) -> float:
 def is_refusal(answer: str) -> bool:
     """Some sentence, without what it quotes, declines."""
     low = answer.lower().replace("’", "'")
-    if not _hinted(low):
-        return False
-    return any(_hinted(s) and _REFUSAL.search(s) for s in _SENTENCE_END.split(_QUOTED.sub(" ", low)))
+    if _OPENING.search(low):
+        low = _QUOTED.sub(" ", low)
+    which = _candidates(low)
+    return bool(which) and any(_REFUSAL[i].search(x) for x in _SENTENCE_END.split(low) for i in which)
 
 
 def unclosed(text: str) -> bool:
@@ -240,19 +321,11 @@ def unclosed(text: str) -> bool:
 @dataclass(frozen=True)
 class PairModel:
     """``word_logs``: word -> log probabilities by language, in the order of ``languages``;
-    ``foreign``: by language, the words that speak against it and how much at most;
-    ``known``: words in any script that the fitted rows have three times or more;
-    ``beginnings``: what such words begin with."""
+    ``foreign``: by language, the words that speak against it and how much at most."""
 
     languages: tuple[str, ...]
     word_logs: dict[str, tuple[float, ...]]
     foreign: dict[str, dict[str, float]]
-    known: frozenset[str] = frozenset()
-    beginnings: frozenset[str] = frozenset()
-
-    def cut_word(self, word: str) -> bool:
-        """Not a word that is known, but the beginning of one."""
-        return word not in self.known and word in self.beginnings
 
     def language(self, text: str) -> tuple[str | None, float]:
         """(most likely language, margin over another in natural logs); None without words."""
@@ -317,52 +390,117 @@ def mark_language(text: str) -> str | None:
 _MARKS = {k: frozenset(v) for k, v in MARK_WORDS.items()}
 
 
-def fit_pairs(df: DataFrame, id_col: str, question: str, answer: str, rows: int = 20000, seed: int = 11) -> PairModel:
-    """Fit on at most ``rows`` rows, those of lowest hash, whatever the size of the table."""
-    sample = [(r[1], r[2]) for r in lowest_hashes(df.select(F.col(id_col), F.col(question).alias("q"), F.col(answer).alias("a")), rows, seed, F.col(id_col))]
+def _taught(question: str | None, answer: str | None) -> Iterator[tuple[str, str]]:
+    """(language, text) of the texts of a row that teach a language."""
+    lang = mark_language(question) if question else None
+    own = mark_language(answer) if answer else None
+    if lang in _MARKS:
+        yield lang, question
+        # A longer answer in evidently another language teaches that language.
+        if answer and own in (None, lang) and not any(re.search(p, question.lower()) for _, p in ASKED):
+            yield lang, answer
+    if answer and own in _MARKS and own != lang:
+        yield own, answer
+
+
+def fit_pairs(df: DataFrame, id_col: str, question: str, answer: str, rows: int = 20_000, most_words: int = 200_000, seed: int = 11) -> PairModel:
+    """Language model from at most ``rows`` rows, those of lowest hash, whatever the size of the table.
+
+    Words are counted on the executors; the ``most_words`` most frequent ones reach
+    the driver, no text does. ``df`` should hold texts in one spelling.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    sample = lowest_hash_rows(df.select(F.col(id_col).alias("i"), F.col(question).alias("q"), F.col(answer).alias("a")), rows, seed, F.col("i")).repartition(cores)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: Counter = Counter()
+        for pdf in batches:
+            for q, a in zip(pdf["q"], pdf["a"]):
+                for lang, text in _taught(q, a):
+                    found.update((lang, w) for w in words(text))
+        yield pd.DataFrame([(k, w, n) for (k, w), n in found.items()], columns=["lang", "word", "n"])
+
+    counted = sample.mapInPandas(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts: dict[str, Counter] = {lang: Counter() for lang in MARK_WORDS}
-    seen: Counter = Counter()
-    for r in sample:
-        q = canonical(r[0], r[1]) if r[0] else None
-        a = canonical(r[1], r[0]) if r[1] else None
-        lang = mark_language(q) if q else None
-        own = mark_language(a) if a else None
-        seen.update(words(q) if q else ())
-        seen.update(words(a)[: None if _TERMINAL.search(a[-12:]) else -1] if a else ())  # the last may be cut
-        if lang in counts:
-            counts[lang].update(words(q))
-            # A longer answer in evidently another language teaches that language.
-            if a and own in (None, lang) and not any(re.search(p, q.lower()) for _, p in ASKED):
-                counts[lang].update(words(a))
-        if a and own in counts and own != lang:
-            counts[own].update(words(a))
+    for r in counted.orderBy(F.desc("n"), "lang", "word").limit(most_words).collect():
+        counts[r.lang][r.word] = r.n
     for w, c in list(counts["vi"].items()):
         bare = without_accents(w)
         if bare != w:  # Vietnamese typed without its accents is Vietnamese
             counts["vi"][bare] += max(1, c // 8)
     languages = tuple(counts)
     totals = {k: sum(c.values()) or 1 for k, c in counts.items()}
-    vocabulary = set().union(*counts.values())
     logs = {}
-    for w in vocabulary:
+    for w in sorted(set().union(*counts.values())):
         # Rates with a floor: one stray occurrence in a large language is noise.
         logs[w] = tuple(math.log(max(counts[k][w] / totals[k], 2e-5) + 1e-6) for k in languages)
     foreign = {k: {w: max(v) - v[i] for w, v in logs.items() if len(w) > 1 and max(v) > v[i]} for i, k in enumerate(languages)}
-    known = frozenset(w for w, n in seen.items() if n >= 3)
-    return PairModel(languages, logs, foreign, known, frozenset(w[:i] for w in known for i in range(1, len(w))))
+    return PairModel(languages, logs, foreign)
+
 
+# The same in the JVM's regular expressions.
+_WORD_JVM = r"\p{L}+(?:['’]\p{L}+)?"
+_STOPPED_JVM = r"[.!?。！？]['\"”’»)\]」』\s]*$"
 
-def is_truncated(answer: str, model: PairModel) -> bool:
+
+def last_word(answer: Column) -> Column:
+    """The last word of an answer that no sign ends; null for others."""
+    return F.when(~answer.rlike(_STOPPED_JVM), F.try_element_at(F.regexp_extract_all(F.lower(answer), F.lit(_WORD_JVM), F.lit(0)), F.lit(-1)))
+
+
+def fragments(df: DataFrame, question: str, answer: str, least: int = 3, share: float = 0.1, longest: int = 64) -> DataFrame:
+    """(fragment): last words of unstopped answers that are broken off inside a word.
+
+    Words are counted over all rows, apart where they end an unstopped answer and
+    where they stand elsewhere. A fragment begins a longer word that stands
+    elsewhere ``least`` times or more, and stands there itself fewer than ``least``
+    times or fewer than ``share`` of its times as a last word; so neither a rare
+    word nor stray pieces are decided by the number of rows. Runs of more than
+    ``longest`` letters are no entries of the word list. Counts are summed in the
+    tasks before the one shuffle.
+    """
+    found = lambda c: F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit(_WORD_JVM), F.lit(0))
+    parts = df.select(found(question).alias("q"), found(answer).alias("a"), F.coalesce(F.col(answer).rlike(_STOPPED_JVM), F.lit(True)).alias("stopped"))
+    ends = ~F.col("stopped") & (F.size("a") > 0)
+    each = parts.select(F.explode(F.col("q")).alias("w"), F.lit(0).alias("last")).unionByName(parts.select(F.posexplode("a").alias("at", "w"), (ends & (F.col("at") == F.size("a") - 1)).cast("int").alias("last")).select("w", "last"))
+    each = each.where(F.length("w") <= longest).select("w", "last", (1 - F.col("last")).alias("inner"))
+    counts = materialize(each.groupBy("w").agg(F.sum("inner").alias("inner"), F.sum("last").alias("last")), "word-counts")
+    known = counts.where((F.col("inner") >= least) & (F.length("w") > 1))
+    beginnings = known.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda n: F.substring(F.col("w"), F.lit(1), n))).alias("fragment")).distinct()
+    ends_ = counts.where((F.col("last") > 0) & ((F.col("inner") < least) | (F.col("inner") < share * F.col("last")))).select(F.col("w").alias("fragment"))
+    return materialize(ends_.join(beginnings, "fragment", "left_semi"), "fragments")
+
+
+def is_stopped(text: str) -> bool:
+    """Ends the text with a sign that ends a sentence, whatever closes after it?"""
+    while (bare := text.rstrip().rstrip(_CLOSERS)) != text:
+        text = bare
+    return text.endswith((".", "!", "?", "。", "！", "？"))
+
+
+def ends_with_list_mark(text: str) -> bool:
+    """Is the last piece the mark of a list's next item, which is missing?
+
+    A bullet is one; a number is one after the end of a sentence or line, or if the text has an earlier mark.
+    """
+    pieces = text.split()
+    if len(pieces) < 2 or _LIST_MARK.fullmatch(pieces[-1]) is None:
+        return False
+    return pieces[-1] in "-*•" or text[: -len(pieces[-1])].rstrip(" \t")[-1:] in "\n.!?:;。！？" or any(_LIST_MARK.fullmatch(x) for x in pieces[:-1])
+
+
+def is_truncated(answer: str, cut: bool = False) -> bool:
     """An unclosed delimiter, an abrupt ending or an unfinished sentence or list.
 
-    Whole phrases and captions without a full stop are not.
+    Whole phrases and captions without a full stop are not. ``cut``: the last word
+    is known to be a fragment.
     """
     text = answer.strip()
     if text.endswith(("…", "...")):
         return True
-    if _LIST_MARK.search(text[-8:]) and len(text) > 4:
+    if ends_with_list_mark(text):
         return True
-    stopped = _TERMINAL.search(text[-12:]) is not None
+    stopped = is_stopped(text)
     if stopped and not _OPENING.search(text):
         return False
     bare = text.strip("\"'“”« »").strip()
@@ -375,7 +513,7 @@ def is_truncated(answer: str, model: PairModel) -> bool:
         return False
     if bare.endswith((",", ";", ":", "-", "–", "—", "、")):
         return True
-    if (len(ws) > 2 and ws[-1] in DANGLING) or (len(ws) > 1 and model.cut_word(ws[-1])):
+    if (len(ws) > 2 and ws[-1] in DANGLING) or (len(ws) > 1 and cut):
         return True
     if re.search(r"[.!?](?:['\"”])?\s+\S|[。！？]\S", bare) or _LIST_LINES.search(bare):  # former sentences are complete, the last is not
         return True
@@ -385,7 +523,7 @@ def is_truncated(answer: str, model: PairModel) -> bool:
 
 
 _CLAUSE = regex.compile(
-    r"^(?:yes|no|there|it|i|you|both|two|judging|from|moving|near the middle|somewhat|có|không|đó|ta|nhìn|xét|hai thứ|trong ảnh|vermutlich|es|man|hay|parece|sí|se ve|il|on|oui|non|que|там|похоже|да|нет)\b"
+    r"^(?:yes|no|there|it|i|you|we|they|he|she|this|that|có|không|đó|ta|nó|vermutlich|es|man|hay|parece|sí|se|il|elle|on|oui|non|que|там|похоже|да|нет)\b"
     r"|\b(?:is|are|was|has|have|shows|looks|stands|stays|keeps|gives|would|can|could)\b|\b(?:ist|sind|befindet|liegen|steht|stehen|wirkt|bleibt|faltet|macht)\b"
     r"|\b(?:est|sont|trouve|voit|semble|vient)\b|\b(?:está|están|es|parece|llega)\b|\b(?:là|được|nằm)\b|\S đang\b|\b(?:находится|видно|виден|стоят|падает)\b"
 )
@@ -421,27 +559,24 @@ def question_language(question: str, model: PairModel) -> str | None:
     return mark_language(question) or model.language(question)[0]
 
 
-def defects(question: str | None, answer: str | None, model: PairModel) -> list[str]:
-    """Every triggered defect, in the order of :data:`DEFECTS`.
+def defects(question: str | None, answer: str | None, model: PairModel, cut: bool = False) -> list[str]:
+    """Every triggered defect, in the order of :data:`DEFECTS`, of texts in one spelling.
 
-    A missing question is no defect and switches the rules off that need one.
+    An empty answer has nothing that another rule could look at. A missing
+    question is no defect and switches the rules off that need one.
     """
     if is_empty(answer):
         return ["empty"]
-    a = canonical(answer, question)
-    if a is not answer and is_empty(a):
-        return ["empty"]
-    aw = words(a)
+    aw = words(answer)
     asked = question is not None and _SHOWN.search(question) is not None
-    q = canonical(question, answer) if asked else ""
     out = []
-    if asked and is_copy(q, a, None, aw):
+    if asked and is_copy(question, answer, None, aw):
         out.append("copied_question")
-    if is_refusal(a):
+    if is_refusal(answer):
         out.append("refusal")
-    if is_truncated(a, model):
+    if is_truncated(answer, cut):
         out.append("truncated")
-    if asked and is_wrong_language(q, a, model, a=aw):
+    if asked and is_wrong_language(question, answer, model, a=aw):
         out.append("wrong_language")
     return out
 
@@ -450,18 +585,22 @@ def pair_defects(df: DataFrame, id_col: str = "row_index", question: str = "ques
     """(id, defects array) of each row with a defect; see :func:`defects`.
 
     Repeated rows give a row each; other columns are not read. An empty table
-    gives an empty result.
+    gives an empty result. Last words are looked up in the table of fragments by a
+    join, whose side Spark broadcasts only while its files are small.
     """
-    model = model or fit_pairs(df, id_col, question, answer)
-    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by the rows it was fitted on
     kind = df.schema[id_col].dataType.simpleString()
+    rows = materialize(canonical_columns(df.select(F.col(id_col).alias("i"), F.col(question).alias("q"), F.col(answer).alias("a")), ("q", "a")), "spelled-pairs")
+    model = model or fit_pairs(rows, "i", "q", "a")
+    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by its number of words
+    cut = fragments(rows, "q", "a").select("fragment", F.lit(True).alias("cut"))
+    looked = spread(rows).withColumn("fragment", last_word(F.col("a"))).join(cut, "fragment", "left").select("i", "q", "a", F.coalesce("cut", F.lit(False)).alias("cut"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for pdf in batches:
-            found = [defects(q, a, m) for q, a in zip(pdf["q"], pdf["a"])]
+            found = [defects(q, a, m, c) for q, a, c in zip(pdf["q"], pdf["a"], pdf["cut"])]
             keep = [bool(f) for f in found]
-            out = pdf.loc[keep, [id_col]]
+            out = pdf.loc[keep, ["i"]].rename(columns={"i": id_col})
             yield out.assign(defects=pd.Series([f for f in found if f], index=out.index, dtype=object))
 
-    return spread(df.select(F.col(id_col), F.col(question).alias("q"), F.col(answer).alias("a"))).mapInPandas(run, f"`{id_col}` {kind}, defects array<string>")
+    return looked.mapInPandas(run, f"`{id_col}` {kind}, defects array<string>")

@@ -2,21 +2,49 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from pairloom.llm import pairs
+from pairloom.llm.lookalikes import canonical
 
 GOAT = "What is the goat doing near the river?"
 
 
+BROKEN = ["There are seven people standing behi", "Có lẽ là sáng sớm vì chi", "The wall cl", "Bác tài xế đang chờ xe buýt bên tro", "Der Kellner fegt den Boden und ble"]
+
+
+class Judge:
+    """The rules with all that the table operator gives them."""
+
+    def __init__(self, spark):
+        d = spark.read.parquet("/root/testdata/sf0.01/samples.parquet").select("row_index", "question", "answer")
+        d = d.unionByName(spark.createDataFrame([(-i, GOAT, a) for i, a in enumerate(BROKEN, 1)], d.schema))
+        self.model = pairs.fit_pairs(d, "row_index", "question", "answer")
+        self.cuts = {r.fragment for r in pairs.fragments(d, "question", "answer").collect()}
+
+    def __call__(self, question, answer):
+        q, a = canonical(question, answer), canonical(answer, question)
+        ws = pairs.words(a) if a else []
+        return pairs.defects(q, a, self.model, bool(ws) and ws[-1] in self.cuts)
+
+
+@pytest.fixture(scope="module")
+def judge(spark):
+    return Judge(spark)
+
+
 @pytest.fixture(scope="module")
-def model(spark):
-    return pairs.fit_pairs(spark.read.parquet("/root/testdata/sf0.01/samples.parquet"), "row_index", "question", "answer")
+def model(judge):
+    return judge.model
 
 
-@pytest.mark.parametrize("answer", [None, "", " \t\n", "　", "​", "\x1c", "-", "--", "N/A", "n/a", "null", "None", "<empty>", "[no answer]", "No caption given.", "...", "…"])
-def test_empty(model, answer):
-    assert pairs.defects(GOAT, answer, model) == pairs.defects(None, answer, model) == ["empty"]
+@pytest.mark.parametrize("answer", [None, "", " \t\n", "　", "​", "\x1c", "-", "--", "N/A", "n/a", "null", "None", "<empty>", "[no answer]", "No caption given.", "...", "…", "-" * 61, "." * 300, ". " * 40, "( N / A )", " ".join("[no   answer]".split())])
+def test_empty(judge, answer):
+    assert judge(GOAT, answer) == judge(None, answer) == ["empty"]
 
 
 @pytest.mark.parametrize(
@@ -26,8 +54,8 @@ def test_empty(model, answer):
         ("店員は何をしていますか？", "店員は何をしていますか"), ("Où se trouve la théière ?", "Où se la théière ?"), (GOAT, "> " + GOAT),
     ],
 )
-def test_copied(model, question, answer):
-    assert pairs.defects(question, answer, model)[0] == "copied_question"
+def test_copied(judge, question, answer):
+    assert judge(question, answer)[0] == "copied_question"
 
 
 @pytest.mark.parametrize(
@@ -37,10 +65,11 @@ def test_copied(model, question, answer):
         "Regrettably, no description of the driver can be given by me.", "Identifying the waiter is not something I can do.", "the policy I follow does not let me talk about such pictures.", "Tôi không thể trả lời câu hỏi này.",
         "Rất tiếc, việc nhận xét về cô gái không phù hợp với quy định.", "Lo siento, no me corresponde opinar sobre la jardinera.", "Désolé, il ne m'est pas permis de décrire cette image.", "identifier le vieil homme ne relève pas de mes fonctions.",
         "Leider gilt: dazu möchte ich mich nicht äußern.", "Es tut mir leid, diese Frage muss ich ablehnen.", "Извините, мне не разрешено описывать это изображение.", "申し訳ありませんが、このご質問にはお答えできません。", "I c​an't help with that request.",
+        "回答を辞退いたします", "Kann dazu keine Auskunft geben", "Должен отклонить этот запрос", "The sky is blue. " * 400 + "I cannot help with that.",
     ],
 )
-def test_refusal(model, answer):
-    assert "refusal" in pairs.defects(None, answer, model)
+def test_refusal(judge, answer):
+    assert "refusal" in judge(None, answer)
 
 
 @pytest.mark.parametrize(
@@ -51,8 +80,8 @@ def test_refusal(model, answer):
         "A small label under the tree cannot be read.", "No puedo ver el banco por ninguna parte; solo está el puesto.", "Ich kann die Katze nirgends sehen; da ist nur die Leiter.",
     ],
 )
-def test_no_refusal(model, answer):
-    assert pairs.defects(None, answer, model) == []
+def test_no_refusal(judge, answer):
+    assert judge(None, answer) == []
 
 
 @pytest.mark.parametrize(
@@ -62,16 +91,16 @@ def test_no_refusal(model, answer):
         "There are seven people standing behi", "Có lẽ là sáng sớm vì chi", "Der ältere Herr faltet eine Karte neben einer", "red two, blue four, green", "The wall cl", "Bác tài xế đang chờ xe buýt bên tro", "Der Kellner fegt den Boden und ble",
     ],
 )
-def test_truncated(model, answer):
-    assert pairs.defects(None, answer, model) == ["truncated"]
+def test_truncated(judge, answer):
+    assert judge(None, answer) == ["truncated"]
 
 
 @pytest.mark.parametrize(
     "answer",
-    ["a red goat near the river", "the hay bale and the kite", "yes", "10:45", "B", "100 %", "wood.", '"the goat"', "đang chụp ảnh", "el cartel al otro lado de la plaza", "The goat is (really) here.", "a red\ngoat", "2", "el puesto de fruta", "The goat.​"],
+    ["a red goat near the river", "the hay bale and the kite", "yes", "10:45", "B", "100 %", "wood.", '"the goat"', "đang chụp ảnh", "el cartel al otro lado de la plaza", "The goat is (really) here.", "a red\ngoat", "2", "el puesto de fruta", "The goat.​", "There are 12.", "There were 3)", "They are numbered 1 to 12."],
 )
-def test_whole(model, answer):
-    assert pairs.defects(None, answer, model) == []
+def test_whole(judge, answer):
+    assert judge(None, answer) == []
 
 
 @pytest.mark.parametrize(
@@ -82,8 +111,8 @@ def test_whole(model, answer):
         (None, "Le tramway près de la rivière.", False), ("", "Le tramway près de la rivière.", False), (GOAT, "Thе gоаt іѕ еаtіng grаѕѕ.", False),
     ],
 )
-def test_language(model, question, answer, wrong):
-    assert ("wrong_language" in pairs.defects(question, answer, model)) == wrong
+def test_language(judge, question, answer, wrong):
+    assert ("wrong_language" in judge(question, answer)) == wrong
 
 
 def test_table(spark, model):
@@ -98,3 +127,36 @@ def test_table(spark, model):
 def test_order_of_rules():
     assert pairs.DEFECTS == ("empty", "copied_question", "refusal", "truncated", "wrong_language")
     assert pairs.common_subsequence(list("abcde"), list("axcye")) == 3
+
+
+@pytest.mark.parametrize("pattern, some", [("abc|de", {"abc", "de"}), (r"x?\w+(?:foo|bars)\b.{0,5}z", {"foo", "bars"}), (r"(?:a|b)?c", {"c", "ac", "bc"}), (r"\w+", set()), (r"(?:\w+|abc)", set()), (r"(?:\w+x|abc)d?", {"x", "abc"})])
+def test_needed_literals(pattern, some):
+    assert pairs.needed(pattern) == some
+
+
+PARTS = ["i ", "can't ", "cannot ", "help", "answer ", "my ", "policy ", "against ", "rules ", "do not ", "let me", "tôi ", "từ chối ", "xin ", "no puedo ", "responder", "je ne peux ", "pas ", "vous ", "dire", "kann ", "dazu ", "nicht ", "keine ", "auskunft ", "geben",
+         "lehne ich ab", "не могу ", "ответить", "должен ", "отклонить", "回答", "を", "辞退", "控え", "ません", "お答え", "でき", "x", " ", ". "]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=10).map("".join))
+def test_looking_for_literals_loses_no_refusal(text):
+    want = any(p.search(x) for x in pairs._SENTENCE_END.split(pairs._QUOTED.sub(" ", text)) for p in pairs._REFUSAL)
+    assert pairs.is_refusal(text) == want
+
+
+def test_rules_look_at_whole_texts():
+    """Ends and beginnings of any length."""
+    assert pairs.is_stopped("The goat." + "\"')] " * 30) and not pairs.is_stopped("goat " + "\"')] " * 30)
+    assert pairs.ends_with_list_mark("1. a\n2. b\n  (13)") and pairs.ends_with_list_mark("a goat. \n   *") and not pairs.ends_with_list_mark("it is 12.")
+    assert pairs.is_copy("where is it", "  " * 40 + "Question  : where is it")
+
+
+def test_fragments(spark):
+    """A rare word is no fragment only because it is rare; a piece is one however many rows there are."""
+    whole = [("The category of the cat is told here.", "The cats sleep.")] * 5 + [("Who?", "a red cat"), ("Who?", "one dog")]
+    broken = [("Who?", "in the categ")] * 4
+    for times in (1, 50):
+        df = spark.createDataFrame((whole + broken) * times + [(None, None), ("", ""), ("categories", "…")], "q string, a string")
+        assert [r.fragment for r in pairs.fragments(df, "q", "a").collect()] == ["categ"]
+    assert pairs.fragments(df.limit(0), "q", "a").count() == 0
