@@ -134,6 +134,9 @@ def _plain_style(text: str) -> str:
     of the phonetic alphabet alone are phonetic letters.
     """
 
+    if not _STYLED_RUN.search(text) and not _SMALL.search(text):
+        return text
+
     def plain(m) -> str:
         token = m.group()
         if len(token) > 1 and _STYLED_RUN.search(token):
@@ -145,6 +148,16 @@ def _plain_style(text: str) -> str:
     return _TOKEN.sub(plain, text)
 
 
+def _plain_latin(text: str) -> str:
+    """Latin letters that look like others, in the plain ones; phonetic letters stay in phonetic spelling."""
+    if any(c in LATIN_LATIN for c in text):
+        nordic = re.search("[þÞð]", text) is not None  # there Ð is a letter of its own
+        phonetic = re.search("[əɪʃʊɛɔʒˈː]", text) is not None  # there ɡ, ɑ and ɩ are
+        stay = "ß" + ("Ð" if nordic else "") + ("ɡɑɩ" if phonetic else "")
+        return "".join(c if c in stay else LATIN_LATIN.get(c, c) for c in text)
+    return text
+
+
 class Spelling:
     """Consistent spellings by the fixed tables and ``extra``: letters of other alphabets and the Latin
     letters that they look like (:func:`confusables.look_alikes`)."""
@@ -258,17 +271,10 @@ class Spelling:
         t = unicodedata.normalize("NFC", _plain_width(t))
         t = _SPACE.sub(lambda m: m.group() if m.group() == "\u3000" and _CJK.search(t) and _wide_space_fits(t, m.start()) else " ", t)
         t = _SIGN.sub(lambda m: SIGNS[m.group()], t.replace("\u2010", "-").replace("\u2011", "-"))
-        if _STYLED_RUN.search(t) or _SMALL.search(t):
-            t = _plain_style(t)
-        if any(c in LATIN_LATIN for c in t):
-            nordic = re.search("[þÞð]", t) is not None  # there Ð is a letter of its own
-            phonetic = re.search("[əɪʃʊɛɔʒˈː]", t) is not None  # there ɡ, ɑ and ɩ are
-            stay = "ß" + ("Ð" if nordic else "") + ("ɡɑɩ" if phonetic else "")
-            t = "".join(c if c in stay else LATIN_LATIN.get(c, c) for c in t)
         passed: set[str] = set()
         while not t.isascii() and t not in passed:  # a word that is decided may decide its neighbours
             passed.add(t)
-            t = unicodedata.normalize("NFC", self.one_script(t, context))
+            t = unicodedata.normalize("NFC", self.one_script(_plain_style(_plain_latin(t)), context))
         return unicodedata.normalize("NFC", t)
 
 
