@@ -1,11 +1,12 @@
 """Problem 7: the reading level of each document.
 
-A familiar-word formula: the share of words that are not on a list of
-frequent words, and the mean length of sentences. The lists come from the
-documents themselves: words by the number of documents that have them. Instead of
-one list, nested lists of several lengths are used, and the weights of their
-shares and of the sentence length are fitted to passages of known level, so the
-formula needs no list or weights from elsewhere.
+A familiar-word formula: one scale, the sum of the share of words that are not
+familiar and of the mean length of sentences, each with its weight, and cut points
+between the bands. Familiar are the frequent words of the documents themselves, by
+the number of documents that have them. Nested lists of several lengths grade how
+familiar a word is; their weights, that of the sentence length and the cut points
+are fitted to passages of known level, so the formula needs no list or weights
+from elsewhere.
 
 Document frequencies are aggregated before the shuffle (a word once for each
 task); only the longest list, a fixed number of words, is broadcast.
@@ -29,6 +30,8 @@ from pairloom.storage import spread
 LISTS = (25, 50, 75, 100, 150, 200, 300, 400, 500, 600)
 #: Least number of words that a document must have to be given a band.
 LEAST_WORDS = 60
+#: Ridge of the least squares, in squared shares: the lists overlap.
+RIDGE = 1e-5
 #: At most so many graded passages are used for fitting.
 MOST_GRADED = 10_000
 
@@ -36,8 +39,8 @@ MOST_GRADED = 10_000
 ENGLISH = "the of and is to it was we for that with not be this from by are you they have has at she which their".split()
 _WORD = re.compile(r"[a-z]+(?:'[a-z]+)?")
 _SENTENCE = re.compile(r"[.!?]+[\"”’')]?(?=\s|$)")
-_LETTERED = re.compile(r"\S*[A-Za-z]\S*")
-_MARKUP = [(re.compile(r"<[^<>]{1,200}>"), " "), (re.compile(r"https?://\S+"), " "), (re.compile(r"&amp;"), " and "), (re.compile(r"&(?:nbsp|lt|gt|quot|#\d+);"), " ")]
+_LETTERED = re.compile(r"[^\W\d_]\S*")
+_MARKUP = [(re.compile(r"</?[A-Za-z!][^<>]*>"), " "), (re.compile(r"https?://\S+"), " "), (re.compile(r"&amp;"), " and "), (re.compile(r"&(?:nbsp|lt|gt|quot|#\d+);"), " ")]
 
 
 def clean(text: str) -> str:
@@ -59,8 +62,7 @@ def sentences(text: str) -> int:
 
 def running_words(text: str) -> int:
     """Words between white space that have a letter."""
-    n = len(text.split())
-    return len(_LETTERED.findall(text)) if LEAST_WORDS <= n < 4 * LEAST_WORDS else n
+    return len(_LETTERED.findall(text))
 
 
 def english(counts: Counter, total: int, text: str) -> bool:
@@ -121,40 +123,57 @@ _CUTS = np.array(LISTS)
 
 @dataclass(frozen=True)
 class Formula:
-    """Linear scores of the bands: ``weights`` (features x bands) and ``offsets``, and the frequent words."""
+    """``weights`` of the features and ``offset`` give the level; ``cuts`` part the ``bands`` on that scale."""
 
     bands: tuple[int, ...]
     weights: np.ndarray
-    offsets: np.ndarray
+    offset: float
+    cuts: np.ndarray
     rank: dict[str, int]
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        return x @ self.weights + self.offsets
+    def level(self, x: np.ndarray) -> np.ndarray:
+        return x @ self.weights + self.offset
+
+    def band(self, level: np.ndarray) -> np.ndarray:
+        return np.array(self.bands)[np.searchsorted(self.cuts, level, side="left")]
+
+
+def cut_between(levels: np.ndarray, higher: np.ndarray) -> float:
+    """Middle of the widest gap that puts the fewest passages on the wrong side; ``higher`` are those of higher bands."""
+    order = np.argsort(levels, kind="stable")
+    levels, higher = levels[order], higher[order]
+    gaps = np.diff(levels)
+    if not (gaps > 0).any():
+        return float(levels[0])
+    wrong = np.where(gaps > 0, np.cumsum(higher)[:-1] + (~higher)[::-1].cumsum()[::-1][1:], len(levels) + 1)
+    at = int(np.where(wrong == wrong.min(), gaps, -1).argmax())
+    return float((levels[at] + levels[at + 1]) / 2)
 
 
 def fit(graded: DataFrame, frequent: list[str], passage: str = "passage", band: str = "band") -> Formula | None:
-    """Weights from passages of known band: equal spread in all bands, one centre for each. None without passages."""
+    """Least squares on passages of known band, with a slight ridge, and cut points. None without passages."""
     rank = {w: i for i, w in enumerate(frequent)}
     rows = graded.where(F.col(passage).isNotNull() & F.col(band).isNotNull()).select(F.col(passage).alias("p"), F.col(band).alias("b")).limit(MOST_GRADED).collect()
     rows = [r for r in rows if words(r.p)]
     if not rows:
         return None
     x = np.array([features(Counter(words(clean(r.p))), sentences(clean(r.p)), rank) for r in rows])
-    y = np.array([r.b for r in rows])
-    bands = tuple(sorted(set(y.tolist())))
-    centres = np.array([x[y == b].mean(0) for b in bands])
-    rest = np.vstack([x[y == b] - c for b, c in zip(bands, centres)])
-    spread = rest.T @ rest / max(len(x) - len(bands), 1) + 1e-4 * np.eye(x.shape[1])
-    weights = np.linalg.solve(spread, centres.T)
-    return Formula(bands, weights, -0.5 * np.einsum("ij,ji->i", centres, weights), rank)
+    y = np.array([float(r.b) for r in rows])
+    middle, mean = x.mean(0), y.mean()
+    weights = np.linalg.solve((x - middle).T @ (x - middle) / len(x) + RIDGE * np.eye(x.shape[1]), (x - middle).T @ (y - mean) / len(x))
+    bands = tuple(sorted({int(r.b) for r in rows}))
+    level = x @ weights + mean - middle @ weights
+    # Cut points rise with the bands, also where passages of two bands cannot be told apart.
+    cuts = np.maximum.accumulate([cut_between(level, y > b) for b in bands[:-1]]) if len(bands) > 1 else np.array([])
+    return Formula(bands, weights, float(mean - middle @ weights), cuts, rank)
 
 
 def reading_levels(documents: DataFrame, graded: DataFrame, text: str = "text", id_col: str = "doc_id", kind: str | None = "kind") -> DataFrame:
     """(id, words, unfamiliar, mean_sentence, level, band, prose) of every row with a text.
 
     ``unfamiliar`` is the share of words outside the longest list but two,
-    ``level`` the mean of the bands weighted with their probabilities, ``band``
-    the likeliest. ``prose``: English running text of at least 60 words, not of
+    ``level`` the value of the formula, from the first to the last band, ``band`` the
+    one between whose cut points it lies. ``prose``: English running text of at least 60 words, not of
     kind 'log'; only these are comparable with the graded passages. Null texts
     and texts without Latin words have no row. Rows of equal id give a row each.
     Without graded passages there is no level and the result is empty.
@@ -170,7 +189,6 @@ def reading_levels(documents: DataFrame, graded: DataFrame, text: str = "text",
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         f = shared.value
-        bands = np.array(f.bands)
         for pdf in batches:
             rows, x = [], []
             for i, told_, t in zip(pdf["id"], pdf["told"], pdf["text"]):
@@ -182,10 +200,8 @@ def reading_levels(documents: DataFrame, graded: DataFrame, text: str = "text",
             if not rows:
                 continue
             x = np.array(x)
-            z = f.scores(x)
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
+            level = f.level(x)
             ids, n, good = zip(*rows)
-            yield pd.DataFrame({id_col: list(ids), "words": n, "unfamiliar": x[:, middle], "mean_sentence": np.exp(x[:, -1]), "level": p @ bands, "band": bands[z.argmax(1)], "prose": good})
+            yield pd.DataFrame({id_col: list(ids), "words": n, "unfamiliar": x[:, middle], "mean_sentence": np.exp(x[:, -1]), "level": level.clip(f.bands[0], f.bands[-1]), "band": f.band(level), "prose": good})
 
     return texts.mapInPandas(run, schema)
