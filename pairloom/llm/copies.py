@@ -4,22 +4,31 @@ An incremental ledger. The ledger is a bucketed table (canonical key, number of
 copies, earliest representative). Each batch of deliveries is keyed and
 aggregated by key (partial sums before the shuffle, so a hot key is one row per
 task), full-outer-joined with the ledger buckets that its keys fall into, and the
-new state of exactly those buckets is written as a new version; the other
-buckets keep their files. A version is committed by writing its bucket list last,
-so a lost executor or driver leaves the former version readable.
+new state of exactly those buckets is written; the other buckets keep their files.
+
+The ledger lives in a folder. A version is a small file that lists each bucket's
+place; it is written last and under its final name by one rename, so a lost
+executor or driver leaves the former version whole, and :meth:`Ledger.open` finds
+the newest one from another session. The former version's files stay until the
+next one is committed.
+
+A key's bucket is where Spark's own hash partitioning puts it, so a task of the
+join holds one bucket and writes one file; the state is shuffled once a batch.
 
 The image bytes are read once and only their digest is moved.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.storage import delete_path, materialize, new_path
+from pairloom.storage import delete_path, list_names, materialize, new_path, read_text, write_text
 
 #: Letter case, white space, punctuation and invisible controls make no difference.
 NOISE = r"[\p{P}\p{Z}\s\p{C}]+"
@@ -50,70 +59,105 @@ def keyed(df: DataFrame, id_col: str = "row_index", image: str = "image_bytes",
 
 @dataclass
 class Ledger:
-    """Bucketed counts of canonical keys.
+    """Bucketed counts of canonical keys in the folder ``root``.
 
     ``buckets`` is the number of key ranges that are rewritten independently; see
-    :func:`bucket_count`. ``files`` has the place of the current version of each
-    bucket that is not empty (a list bounded by ``buckets``).
+    :func:`bucket_count`. ``files`` has the place and the keys of the current version
+    of each bucket that is not empty (a list bounded by ``buckets``). Buckets are cut
+    anew when they have grown to more than twice ``keys_per_bucket``.
     """
 
     spark: SparkSession
+    root: str
     buckets: int = 64
-    files: dict[int, str] = field(default_factory=dict)
+    version: int = 0
+    files: dict[int, tuple[str, int]] = field(default_factory=dict)
+    keys_per_bucket: int = 500_000
+
+    @staticmethod
+    def open(spark: SparkSession, root: str) -> Ledger:
+        """The newest version in ``root``. FileNotFoundError if there is none."""
+        versions = list_names(spark, f"{root}/versions")
+        numbers = sorted(int(n.removesuffix(".json")) for n in versions if n.endswith(".json") and not n.startswith("."))
+        if not numbers:
+            raise FileNotFoundError(root)
+        m = json.loads(read_text(spark, f"{root}/versions/{numbers[-1]:08d}.json"))
+        return Ledger(spark, root, m["buckets"], m["version"], {int(b): (p, n) for b, (p, n) in m["files"].items()}, m["keys_per_bucket"])
+
+    @property
+    def keys(self) -> int:
+        return sum(n for _, n in self.files.values())
 
     def bucket(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.hash(key), F.lit(self.buckets))
 
     def read(self, only: Sequence[int] | None = None) -> DataFrame:
         """Rows (key, copies, first_id, bucket) of all or of some buckets."""
-        paths = sorted({self.files[b] for b in (self.files if only is None else only) if b in self.files})
         schema = "key binary, copies bigint, first_id bigint"
-        if not paths:
+        wanted = [b for b in sorted(self.files) if only is None or b in set(only)]
+        if not wanted:
             return self.spark.createDataFrame([], schema + ", bucket int")
-        wanted = [b for b in self.files if only is None or b in set(only)]
-        parts = [f"{self.files[b]}/bucket={b}" for b in wanted]
-        rows = self.spark.read.schema(schema).parquet(*parts)
+        rows = self.spark.read.schema(schema).parquet(*[f"{self.files[b][0]}/bucket={b}" for b in wanted])
         return rows.withColumn("bucket", self.bucket(F.col("key")))
 
     def fold(self, batch: DataFrame) -> None:
-        """Add the rows (key, id) of ``batch``.
+        """Add the rows (key, id) of ``batch`` and commit the new version.
 
         The smallest id represents a key; rows of null id count but never
         represent, unless there is no other.
         """
-        counted = batch.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id")).withColumn("bucket", self.bucket(F.col("key")))
-        counted = materialize(counted, "ledger-batch")
-        touched = [r.bucket for r in counted.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-        if not touched:
+        counted = materialize(batch.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id")), "ledger-batch")
+        new_keys = counted.count()
+        if not new_keys:
             return
-        merged = counted
-        if any(b in self.files for b in touched):
-            old, new = self.read(touched).alias("o"), counted.alias("n")
-            merged = old.join(new, F.col("o.key") == F.col("n.key"), "full_outer").select(
+        grown = self.keys + new_keys > 2 * self.buckets * self.keys_per_bucket
+        old = self.read() if grown else None
+        if grown:
+            self.buckets = bucket_count(self.keys + new_keys, self.keys_per_bucket)
+        else:
+            touched = [r.bucket for r in counted.select(self.bucket(F.col("key")).alias("bucket")).distinct().collect()]  # at most ``buckets`` numbers
+            old = self.read(touched) if any(b in self.files for b in touched) else None
+        merged = counted.repartition(self.buckets, "key")
+        if old is not None:
+            new = merged.alias("n")
+            merged = old.drop("bucket").repartition(self.buckets, "key").alias("o").join(new, F.col("o.key") == F.col("n.key"), "full_outer").select(
                 F.coalesce("o.key", "n.key").alias("key"),
                 (F.coalesce("o.copies", F.lit(0)) + F.coalesce("n.copies", F.lit(0))).alias("copies"),
                 F.least("o.first_id", "n.first_id").alias("first_id"),
-                F.coalesce("o.bucket", "n.bucket").alias("bucket"),
             )
-        path = new_path(self.spark, "ledger")
-        merged.write.partitionBy("bucket").parquet(path)
-        former, self.files = self.files, self.files | {b: path for b in touched}
-        for gone in set(former.values()) - set(self.files.values()):
-            delete_path(self.spark, gone)
-
-
-def bucket_count(rows: int, keys_per_bucket: int = 2_000_000) -> int:
-    """Buckets of about ``keys_per_bucket`` keys (some 60 MB), 4 at least and 8192 at most."""
-    return max(4, min(8192, -(-rows // keys_per_bucket)))
-
-
-def build_ledger(rows: DataFrame, batch: Column, batches: int, buckets: int | None = None) -> Ledger:
-    """Fold the rows (key, id, ..) into a ledger, batch after batch.
-
-    ``batch`` gives each row's batch, 0 to ``batches`` - 1. A null counts as the last batch.
+        path = f"{self.root}/data-{uuid.uuid4().hex}"
+        merged.withColumn("bucket", self.bucket(F.col("key"))).write.partitionBy("bucket").parquet(path)
+        counts = self.spark.read.schema("bucket int").parquet(path).groupBy("bucket").count().collect()
+        self._commit(({} if grown else self.files) | {r["bucket"]: (path, r["count"]) for r in counts})
+
+    def _commit(self, files: dict[int, tuple[str, int]]) -> None:
+        former = self.files
+        self.version, self.files = self.version + 1, files
+        m = {"version": self.version, "buckets": self.buckets, "keys_per_bucket": self.keys_per_bucket, "files": {str(b): list(f) for b, f in sorted(files.items())}}
+        write_text(self.spark, f"{self.root}/versions/{self.version:08d}.json", json.dumps(m))
+        # Readers of the former version may still be at work; what is older goes.
+        kept = {p.rsplit("/", 1)[-1] for p, _ in [*files.values(), *former.values()]}
+        for name in list_names(self.spark, self.root):
+            if name.startswith("data-") and name not in kept:
+                delete_path(self.spark, f"{self.root}/{name}")
+        for name in list_names(self.spark, f"{self.root}/versions"):
+            if name.endswith(".json") and name.removesuffix(".json").isdigit() and int(name.removesuffix(".json")) < self.version - 1:
+                delete_path(self.spark, f"{self.root}/versions/{name}")
+
+
+def bucket_count(rows: int, keys_per_bucket: int = 500_000) -> int:
+    """Buckets of about ``keys_per_bucket`` keys (some 15 MB), 8 at least and 65,536 at most."""
+    return max(8, min(65_536, -(-rows // keys_per_bucket)))
+
+
+def build_ledger(rows: DataFrame, batch: Column, batches: int, buckets: int | None = None, root: str | None = None) -> Ledger:
+    """Fold the rows (key, id, ..) into a new ledger, batch after batch.
+
+    ``batch`` gives each row's batch, 0 to ``batches`` - 1. A null counts as the last
+    batch. Without ``root`` the ledger goes when the driver ends.
     """
     buckets = buckets or bucket_count(rows.count())
-    ledger = Ledger(rows.sparkSession, buckets)
+    ledger = Ledger(rows.sparkSession, root or new_path(rows.sparkSession, "ledger"), buckets)
     numbered = rows.withColumn("batch", F.coalesce(batch.cast("int"), F.lit(batches - 1)))
     for b in range(batches):
         ledger.fold(numbered.where(F.col("batch") == b))

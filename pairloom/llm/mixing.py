@@ -5,8 +5,9 @@ and each document is emitted floor(rate) times plus once more if its seeded hash
 falls under the fraction. No document is shuffled: the rates are broadcast, their
 number is that of the mixtures' rows.
 
-The size of a mixture is the largest at which all its sources can meet their
-weights within their greatest numbers of repetition.
+The size of a mixture is the one asked for; a source that its greatest number of
+repetitions keeps from its share falls short, and the report says by how much. Where
+no size is asked for it is the largest at which all sources can meet their weights.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Window
 
 from pairloom.llm.packing import sized
 from pairloom.llm.tokens import TOKENIZERS, VOCABULARY
+from pairloom.storage import materialize
 
 #: A mixture table of more rows than this is refused; it is broadcast.
 MOST_TARGETS = 100_000
@@ -27,8 +29,9 @@ def source_key(name: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(name)), r"[\s_\-]+", "-")
 
 
-def rates(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """(mix_id, source, weight, max_repeats, tokens, rate, target_share) for each source of each mixture.
+def rates(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
+    """(mix_id, source, weight, max_repeats, tokens, rate, target_share, wanted_tokens, shortfall_tokens) for each
+    source of each mixture.
 
     Weights are relative. A source without documents, or of no positive weight,
     has rate 0 and its weight is left out of the total, so the others share it. A
@@ -47,9 +50,13 @@ def rates(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     mix = Window.partitionBy("mix_id")
     return (
         joined.withColumn("target_share", F.try_divide(F.when(usable, F.col("weight")).otherwise(0.0), F.sum(F.when(usable, F.col("weight"))).over(mix)))
-        .withColumn("size", F.min(F.when(usable, F.try_divide(F.col("tokens") * F.col("max_repeats"), F.col("target_share")))).over(mix))
+        .withColumn("size", F.lit(float(total_tokens)) if total_tokens is not None else F.min(F.when(usable, F.try_divide(F.col("tokens") * F.col("max_repeats"), F.col("target_share")))).over(mix))
         .withColumn("rate", F.when(usable, F.least(F.try_divide(F.col("target_share") * F.col("size"), F.col("tokens")), F.col("max_repeats").cast("double"))).otherwise(0.0))
-        .select("mix_id", "source", "weight", "max_repeats", "tokens", "rate", F.coalesce("target_share", F.lit(0.0)).alias("target_share"))
+        .withColumn("wanted_tokens", F.coalesce(F.col("target_share") * F.col("size"), F.lit(0.0)))
+        .select(
+            "mix_id", "source", "weight", "max_repeats", "tokens", "rate", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), "wanted_tokens",
+            F.greatest(F.lit(0.0), F.col("wanted_tokens") - F.col("tokens") * F.col("rate")).alias("shortfall_tokens"),
+        )
     )
 
 
@@ -58,15 +65,15 @@ def seeded_unit(seed: int, *columns: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
-def mix(documents: DataFrame, targets: DataFrame, seed: int = 42, text: str = "text", id_col: str = "doc_id", source: str = "source", folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, targets: DataFrame, seed: int = 42, total_tokens: int | None = None, text: str = "text", id_col: str = "doc_id", source: str = "source", folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
     """(uses, rates). ``uses``: mix_id, id, source, tokens, copies of each document that is used.
 
     Documents of null source, of no mixture, and null or blank texts (no tokens)
-    are not used. Copies never exceed ``max_repeats``. Empty tables give empty
-    results.
+    are not used. Copies never exceed ``max_repeats``. ``total_tokens`` is the size
+    asked for, of each mixture. Empty tables give empty results.
     """
     sizes = sized(documents.withColumn("__source", source_key(F.col(source))), text, id_col, keep=("__source",), folder=folder, vocabulary=vocabulary).withColumnRenamed("__source", "source")
-    plan = rates(sizes, targets)
+    plan = materialize(rates(sizes, targets, total_tokens), "mix-rates")
     if targets.limit(MOST_TARGETS + 1).count() > MOST_TARGETS:
         raise ValueError(f"more than {MOST_TARGETS} targets")
     whole, part = F.floor("rate"), F.col("rate") - F.floor("rate")
@@ -76,7 +83,8 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 42, text: str = "t
 
 
 def shares(uses: DataFrame, plan: DataFrame) -> DataFrame:
-    """(mix_id, source, target_share, actual_share, rate, documents, used_tokens) of each source of each mixture.
+    """(mix_id, source, target_share, actual_share, rate, max_repeats, most_copies, documents, used_tokens,
+    wanted_tokens, shortfall_tokens) of each source of each mixture.
 
     Pre-aggregated by source before the shuffle; a source that gives nothing has share 0.
     """
@@ -85,5 +93,17 @@ def shares(uses: DataFrame, plan: DataFrame) -> DataFrame:
     return (
         plan.join(got, ["mix_id", "source"], "left")
         .fillna(0, ["documents", "used_tokens", "most_copies"])
-        .select("mix_id", "source", "target_share", F.coalesce(F.try_divide(F.col("used_tokens"), total), F.lit(0.0)).alias("actual_share"), "rate", "max_repeats", "most_copies", "documents", "used_tokens")
+        .select("mix_id", "source", "target_share", F.coalesce(F.try_divide(F.col("used_tokens"), total), F.lit(0.0)).alias("actual_share"), "rate", "max_repeats", "most_copies", "documents", "used_tokens", "wanted_tokens", "shortfall_tokens")
     )
+
+
+def audit(uses: DataFrame, plan: DataFrame) -> DataFrame:
+    """(mix_id, source, target_share, usable, out_of_range) of each source of each mixture.
+
+    ``out_of_range`` counts documents used less often than floor(rate) allows, more
+    often than floor(rate) + 1 or than ``max_repeats``; it should be 0. Documents that
+    are used not at all have floor(rate) = 0 or are missing, which ``shares`` shows.
+    """
+    joined = uses.select("mix_id", "source", "copies").join(plan.select("mix_id", "source", "rate", "max_repeats"), ["mix_id", "source"])
+    wrong = joined.groupBy("mix_id", "source").agg(F.count_if((F.col("copies") < F.floor("rate")) | (F.col("copies") > F.floor("rate") + 1) | (F.col("copies") > F.col("max_repeats"))).alias("out_of_range"))
+    return plan.join(wrong, ["mix_id", "source"], "left").select("mix_id", "source", F.round("target_share", 9).alias("target_share"), (F.col("rate") > 0).alias("usable"), F.coalesce("out_of_range", F.lit(0)).alias("out_of_range"))

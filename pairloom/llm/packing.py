@@ -1,18 +1,24 @@
 """Problem 5: filling containers of fixed capacity with texts of varying length.
 
-Hierarchical multi-length packing. Every text, or the rest of a text that is
-longer than a container after its full pieces are cut off, is routed to a tier by
-its size (more than 1/2 of the capacity, more than 1/4, ..). Containers are
-opened for the tiers from long to short; the gap that a tier's texts leave is
-filled with the largest texts of the same and shorter tiers that fit.
+Hierarchical multi-length packing. A container of ``capacity`` tokens is cut into
+context windows of several lengths: the whole of it, a quarter, a sixteenth.
+
+1. Each text (or the rest of a text that is longer than a container, after its full
+   pieces are cut off) is routed to the tier of the shortest window that holds it.
+2. Each tier's own texts are packed into windows of its length. Where short windows
+   would cost containers, because too few small texts are left to fill them, a tier's
+   texts are packed into the next longer windows instead.
+3. Before the next tier is packed, the gaps of these windows are filled with the
+   largest texts of shorter tiers that fit, widest gaps first.
+4. Windows are laid side by side, long tiers first, so that no window crosses the
+   end of a container. Containers are dealt to step groups in serpentine order of
+   tier and fill, which balances their tokens and their long windows.
 
 The plan needs only how many texts there are of each size: at most
 ``capacity`` numbers for each container size, whatever the corpus. The driver
-plans *patterns* (which sizes share a container) with multiplicities; each text
-finds its container from its rank among the texts of its size. Ranks come from
-salted groups, so a size that half the corpus has is no hot task. Containers are
-numbered by fill and dealt to step groups in serpentine order, which balances the
-groups' tokens.
+plans *patterns* (which sizes share a window) with multiplicities; each text
+finds its window from its rank among the texts of its size. Ranks come from
+salted groups, so a size that half the corpus has is no hot task.
 """
 
 from __future__ import annotations
@@ -30,6 +36,13 @@ from pairloom.storage import materialize, spread
 
 #: More container sizes than this are refused; their plans are held on the driver.
 MOST_SPECS = 1000
+#: Each tier's window is this part of the one before; windows shorter than ``SHORTEST`` tokens are not cut.
+FACTOR, TIERS, SHORTEST = 4, 3, 32
+
+
+def windows(capacity: int) -> list[int]:
+    """Lengths of the windows of each tier, long ones first."""
+    return [capacity, *(capacity // FACTOR**t for t in range(1, TIERS) if capacity // FACTOR**t >= SHORTEST)]
 
 
 def plan_patterns(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -64,22 +77,95 @@ def plan_patterns(counts: dict[int, int], capacity: int) -> list[tuple[int, list
     return plan
 
 
+def fill_gaps(plan: list[tuple[int, list[tuple[int, int]]]], window: int, shorter: dict[int, int]) -> list[tuple[int, list[tuple[int, int]]]]:
+    """``plan`` with the gaps of its windows filled from ``shorter`` (size -> texts), which loses what is used.
+
+    Widest gaps come first, and the largest sizes that fit. Each step ends a
+    pattern or uses up a size.
+    """
+    order = sorted(s for s, n in shorter.items() if n > 0)
+    out = []
+    for times, pattern in sorted(plan, key=lambda x: sum(s * k for s, k in x[1])):
+        room = window - sum(s * k for s, k in pattern)
+        while times:
+            gap, more, at = room, [], len(order)
+            while at > 0 and gap > 0:
+                at = min(at, bisect.bisect_right(order, gap))
+                if at == 0:
+                    break
+                s = order[at - 1]
+                k = min(gap // s, shorter[s])
+                more.append((s, k))
+                gap -= k * s
+                at -= 1
+            now = min([times, *(shorter[s] // k for s, k in more)])
+            out.append((now, pattern + more))
+            times -= now
+            for s, k in more:
+                shorter[s] -= now * k
+                if not shorter[s]:
+                    order.pop(bisect.bisect_left(order, s))
+    return out
+
+
+Plan = list[tuple[int, list[tuple[int, int]]]]
+
+
+def plan_tiers(counts: dict[int, int], capacity: int, ladder: tuple[int, ...] | None = None) -> list[Plan]:
+    """For each tier [(number of windows, [(size, texts of it in each window), ..]), ..], fullest windows first.
+
+    ``ladder`` has for each tier the tier whose windows it is packed into, its own if it is not given.
+    """
+    left = {s: n for s, n in counts.items() if n > 0}
+    lengths = windows(capacity)
+    out = []
+    for tier, shorter in enumerate([*lengths[1:], 0]):
+        window = lengths[ladder[tier] if ladder else tier]
+        own = {s: left.pop(s) for s in list(left) if s > shorter}
+        plan = fill_gaps(plan_patterns(own, window), window, left)
+        out.append(sorted(plan, key=lambda x: -sum(s * k for s, k in x[1])))
+    return out
+
+
+def best_plan(counts: dict[int, int], capacity: int, slack: float = 0.002) -> tuple[tuple[int, ...], list[Plan]]:
+    """(ladder, plan): the one with the shortest windows of those that need hardly more containers than the best."""
+    n = len(windows(capacity))
+    ladders = [tuple(min(t, longest) for t in range(n)) for longest in range(n - 1, -1, -1)]
+    tried = [(ladder, plan_tiers(counts, capacity, ladder)) for ladder in ladders]
+    need = [-(-sum(times * FACTOR ** (n - 1 - w) for w, plan in zip(ladder, tiers) for times, _ in plan) // FACTOR ** (n - 1)) for ladder, tiers in tried]
+    return next(t for t, k in zip(tried, need) if k <= (1 + slack) * min(need))
+
+
 def lay_out(counts: dict[int, int], capacity: int) -> pd.DataFrame:
-    """Runs of pieces: size, first_rank, last_rank, first_container, per_container, space_left, containers.
+    """Runs of pieces: size, first_rank, last_rank, window_tier, first_unit, span, per_window, used, run.
 
-    Containers are numbered from the fullest.
+    A unit is the window of the shortest tier, ``span`` the units of a window;
+    ``run`` numbers the patterns in the order of their units.
     """
-    plan = sorted(plan_patterns(counts, capacity), key=lambda x: -sum(s * k for s, k in x[1]))
+    lengths = windows(capacity)
     rank: dict[int, int] = {}
-    rows, container = [], 0
-    for times, pattern in plan:
-        space = capacity - sum(s * k for s, k in pattern)
-        for s, k in pattern:
-            a = rank.get(s, 0)
-            rows.append((s, a, a + times * k - 1, container, k, space, container + times))
-            rank[s] = a + times * k
-        container += times
-    return pd.DataFrame(rows, columns=["size", "first_rank", "last_rank", "first_container", "per_container", "space_left", "end"])
+    rows, unit, run = [], 0, 0
+    for tier, plan in zip(*best_plan(counts, capacity)):
+        span = FACTOR ** (len(lengths) - 1 - tier)
+        for times, pattern in plan:
+            used = sum(s * k for s, k in pattern)
+            for s, k in pattern:
+                a = rank.get(s, 0)
+                rows.append((s, a, a + times * k - 1, tier, unit, span, k, used, run, unit + times * span))
+                rank[s] = a + times * k
+            unit += times * span
+            run += 1
+    return pd.DataFrame(rows, columns=["size", "first_rank", "last_rank", "window_tier", "first_unit", "span", "per_window", "used", "run", "end"])
+
+
+def tokens_before(runs: pd.DataFrame, units: np.ndarray) -> np.ndarray:
+    """Tokens of all windows that begin before each unit."""
+    once = runs.drop_duplicates("run").sort_values("run")
+    first, span, used, end = (once[c].to_numpy("int64") for c in ("first_unit", "span", "used", "end"))
+    before = np.concatenate([[0], np.cumsum((end - first) // span * used)])[:-1]
+    i = np.searchsorted(first, units, side="right") - 1
+    inside = np.minimum(units, end[i]) - first[i]
+    return before[i] + -(-inside // span[i]) * used[i]
 
 
 def sized(documents: DataFrame, text: str = "text", id_col: str = "doc_id", keep: tuple[str, ...] = (), folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -108,13 +194,17 @@ def pack(documents: DataFrame, specs: DataFrame, text: str = "text", id_col: str
     """Where each text lies, for each container size.
 
     ``specs`` has (spec_id, capacity_tokens). Columns: spec_id, container_id,
-    the id, piece, start_token, piece_tokens, tier, space_left, step_group.
+    the id, piece, start_token, piece_tokens, tier, window_tier, window,
+    window_tokens, space_left, step_group.
 
     A text is split only if it exceeds the capacity. Null and blank texts have no
     tokens and lie nowhere: they have no row. Rows of equal id are different
     texts. Capacities that are null or not positive are left out; of a spec_id that is
-    listed again the largest capacity counts. Empty tables give an empty result. ``per_step`` containers make a step group; ``tier`` is 0
-    for pieces of more than half a container, 1 for more than a quarter, and so on.
+    listed again the largest capacity counts. Empty tables give an empty result.
+    ``tier`` is the piece's own (0: only the whole container holds it), ``window_tier``
+    that of the window it lies in, never a shorter one; ``window`` numbers the windows
+    of a container, ``window_tokens`` is their length, ``space_left`` is of the
+    container. ``per_step`` containers make a step group.
     """
     spark = documents.sparkSession
     kind = documents.schema[id_col].dataType.simpleString()
@@ -138,17 +228,21 @@ def pack(documents: DataFrame, specs: DataFrame, text: str = "text", id_col: str
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables = {}
         for (spec, capacity), t in shared.value.items():
-            a = {c: t[c].to_numpy() for c in t.columns}
+            a = {c: t[c].to_numpy("int64") for c in t.columns}
             width = int(a["last_rank"].max()) + 2
-            groups = -(-int(a["end"].max()) // per_step)
-            tables[spec] = (a, width, a["size"].astype("int64") * width + a["first_rank"], capacity, groups)
+            tables[spec] = (t, a, width, a["size"] * width + a["first_rank"], capacity)
         for pdf in batches:
             out = []
             for spec, part in pdf.groupby("spec_id"):
-                a, width, keys, capacity, groups = tables[spec]
+                t, a, width, keys, capacity = tables[spec]
+                lengths = np.array(windows(capacity))
+                units = FACTOR ** (len(lengths) - 1)
+                groups = -(-int(a["end"].max()) // (units * per_step))
                 size, rank = part["size"].to_numpy("int64"), part["rank"].to_numpy("int64")
                 i = np.searchsorted(keys, size * width + rank, side="right") - 1
-                container = a["first_container"][i] + (rank - a["first_rank"][i]) // a["per_container"][i]
+                unit = a["first_unit"][i] + (rank - a["first_rank"][i]) // a["per_window"][i] * a["span"][i]
+                container = unit // units
+                filled = tokens_before(t, (container + 1) * units) - tokens_before(t, container * units)
                 turn, at = container // groups, container % groups
                 out.append(
                     pd.DataFrame(
@@ -159,15 +253,18 @@ def pack(documents: DataFrame, specs: DataFrame, text: str = "text", id_col: str
                             "piece": part["piece"].to_numpy("int64"),
                             "start_token": part["start"].to_numpy("int64"),
                             "piece_tokens": size,
-                            "tier": np.floor(np.log2(capacity / size)).astype("int32"),
-                            "space_left": a["space_left"][i],
+                            "tier": (np.searchsorted(-lengths, -size, side="right") - 1).astype("int32"),
+                            "window_tier": a["window_tier"][i].astype("int32"),
+                            "window": unit % units // a["span"][i],
+                            "window_tokens": lengths[a["window_tier"][i]],
+                            "space_left": capacity - filled,
                             "step_group": np.where(turn % 2 == 0, at, groups - 1 - at),
                         }
                     )
                 )
             yield pd.concat(out) if out else pd.DataFrame()
 
-    schema = f"spec_id int, container_id bigint, `{id_col}` {kind}, piece bigint, start_token bigint, piece_tokens bigint, tier int, space_left bigint, step_group bigint"
+    schema = f"spec_id int, container_id bigint, `{id_col}` {kind}, piece bigint, start_token bigint, piece_tokens bigint, tier int, window_tier int, window bigint, window_tokens bigint, space_left bigint, step_group bigint"
     return ranked.select("spec_id", id_col, "piece", "start", "size", "rank").mapInPandas(place, schema)
 
 
@@ -181,4 +278,24 @@ def utilisation(packed: DataFrame, specs: DataFrame) -> DataFrame:
     total = group.groupBy("spec_id").agg(
         F.sum("containers").alias("containers"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("step_groups"), (F.max(F.when(F.col("full"), F.col("tokens"))) - F.min(F.when(F.col("full"), F.col("tokens")))).alias("spread")
     )
-    return total.join(F.broadcast(specs.select("spec_id", "capacity_tokens").limit(MOST_SPECS)), "spec_id").select("spec_id", "containers", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("fill"), "step_groups", "spread")
+    capacities = specs.groupBy("spec_id").agg(F.max("capacity_tokens").alias("capacity_tokens"))
+    return total.join(capacities, "spec_id").select("spec_id", "containers", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("fill"), "step_groups", "spread")
+
+
+def audit(packed: DataFrame, specs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(spec_id, texts, overfull_containers, overfull_windows, misrouted, token_difference) of each container size.
+
+    ``sizes`` has the tokens of each text. All but ``texts``, the number of texts that
+    have a place, should be 0: containers and windows above their length, pieces in
+    a window shorter than their tier's, and tokens of the texts that lie nowhere or twice.
+    """
+    capacities = specs.where("capacity_tokens > 0").groupBy("spec_id").agg(F.max("capacity_tokens").alias("capacity"))
+    per_window = packed.groupBy("spec_id", "container_id", "window_tier", "window", "window_tokens").agg(
+        F.sum("piece_tokens").alias("t"), F.count_if(F.col("piece") == 0).alias("texts"), F.count_if(F.col("window_tier") > F.col("tier")).alias("misrouted")
+    )
+    per = per_window.groupBy("spec_id", "container_id").agg(*[F.sum(c).alias(c) for c in ("t", "texts", "misrouted")], F.count_if(F.col("t") > F.col("window_tokens")).alias("windows"))
+    each = per.join(capacities, "spec_id").groupBy("spec_id").agg(
+        F.sum("texts").alias("texts"), F.count_if(F.col("t") > F.col("capacity")).alias("overfull_containers"), F.sum("windows").alias("overfull_windows"), F.sum("misrouted").alias("misrouted"), F.sum("t").alias("t")
+    )
+    whole = sizes.agg(F.sum("tokens")).first()[0] or 0
+    return each.select("spec_id", "texts", "overfull_containers", "overfull_windows", "misrouted", (F.lit(whole) - F.col("t")).alias("token_difference"))

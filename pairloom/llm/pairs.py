@@ -448,14 +448,14 @@ def last_word(answer: Column) -> Column:
     return F.when(~answer.rlike(_STOPPED_JVM), F.try_element_at(F.regexp_extract_all(F.lower(answer), F.lit(_WORD_JVM), F.lit(0)), F.lit(-1)))
 
 
-def fragments(df: DataFrame, question: str, answer: str, least: int = 3, share: float = 0.1, longest: int = 64) -> DataFrame:
+def fragments(df: DataFrame, question: str, answer: str, least: int = 3, times: int = 10, longest: int = 64) -> DataFrame:
     """(fragment): last words of unstopped answers that are broken off inside a word.
 
     Words are counted over all rows, apart where they end an unstopped answer and
-    where they stand elsewhere. A fragment begins a longer word that stands
-    elsewhere ``least`` times or more, and stands there itself fewer than ``least``
-    times or fewer than ``share`` of its times as a last word; so neither a rare
-    word nor stray pieces are decided by the number of rows. Runs of more than
+    where they stand elsewhere. A fragment stands elsewhere fewer than ``least`` times
+    or less often than as a last word, and begins a longer word that stands elsewhere
+    ``least`` times or more and ``times`` as often; both grow with the number of
+    rows, so pieces that stray into other texts do not become words. Runs of more than
     ``longest`` letters are no entries of the word list. Counts are summed in the
     tasks before the one shuffle.
     """
@@ -466,9 +466,10 @@ def fragments(df: DataFrame, question: str, answer: str, least: int = 3, share:
     each = each.where(F.length("w") <= longest).select("w", "last", (1 - F.col("last")).alias("inner"))
     counts = materialize(each.groupBy("w").agg(F.sum("inner").alias("inner"), F.sum("last").alias("last")), "word-counts")
     known = counts.where((F.col("inner") >= least) & (F.length("w") > 1))
-    beginnings = known.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda n: F.substring(F.col("w"), F.lit(1), n))).alias("fragment")).distinct()
-    ends_ = counts.where((F.col("last") > 0) & ((F.col("inner") < least) | (F.col("inner") < share * F.col("last")))).select(F.col("w").alias("fragment"))
-    return materialize(ends_.join(beginnings, "fragment", "left_semi"), "fragments")
+    begins = F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda n: F.substring(F.col("w"), F.lit(1), n))).alias("fragment")
+    longer = known.select(begins, "inner").groupBy("fragment").agg(F.max("inner").alias("longer"))
+    ends_ = counts.where((F.col("last") > 0) & ((F.col("inner") < least) | (F.col("inner") < F.col("last")))).select(F.col("w").alias("fragment"), "inner")
+    return materialize(ends_.join(longer, "fragment").where(F.col("longer") >= times * F.col("inner")).select("fragment"), "fragments")
 
 
 def is_stopped(text: str) -> bool:

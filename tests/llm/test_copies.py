@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from pairloom.llm import copies
+from pairloom.storage import list_names, new_path
 
 SCHEMA = "row_index bigint, sample_id string, image_bytes binary, question string, key string, id string, bucket int, ingested_at timestamp"
 
@@ -79,3 +81,41 @@ def test_samples(spark):
     assert got == brute(data)[0] and got
     assert sorted((r.keep_row_index, r.copies) for r in copies.collapsed(d).collect()) == brute(data)[1]
     assert copies.samples_ledger(d.limit(0))[1].read().count() == 0
+
+
+def test_ledger_outlives_its_session(spark):
+    """Deliveries folded by ledgers that were opened anew give what one pass gives; former versions stay readable."""
+    rows = [(i, f"s{i % 40}", b"p", "q") for i in range(300)]
+    root = new_path(spark, "test-ledger")
+    first = copies.build_ledger(copies.keyed(table(spark, rows[:100])), F.lit(0), 1, root=root)
+    again = copies.Ledger.open(spark.newSession(), root)
+    assert again.version == 1 and again.files == first.files and again.keys == 40
+    again.fold(copies.keyed(table(spark, rows[100:200])))
+    assert sorted(r.copies for r in first.read().collect()) == [2] * 20 + [3] * 20  # its files are still there
+    third = copies.Ledger.open(spark, root)
+    third.fold(copies.keyed(table(spark, rows[200:])))
+    assert third.version == 3 and sorted((r.first_id, r.copies) for r in copies.Ledger.open(spark, root).read().collect()) == brute(rows)[1]
+    assert [n for n in list_names(spark, f"{root}/versions") if n.endswith(".json") and not n.startswith(".")] == ["00000002.json", "00000003.json"]
+
+
+def test_a_version_is_committed_once(spark):
+    root = new_path(spark, "test-ledger")
+    copies.build_ledger(copies.keyed(table(spark, ROWS)), F.lit(0), 1, root=root)
+    one, other = copies.Ledger.open(spark, root), copies.Ledger.open(spark, root)
+    one.fold(copies.keyed(table(spark, ROWS)))
+    with pytest.raises(FileExistsError):
+        other.fold(copies.keyed(table(spark, ROWS)))
+    assert copies.Ledger.open(spark, root).version == 2
+    with pytest.raises(FileNotFoundError):
+        copies.Ledger.open(spark, new_path(spark, "no-ledger"))
+
+
+def test_buckets_are_files_and_grow(spark):
+    """A file for each bucket and version; more buckets once they are too full."""
+    rows = [(i, f"s{i}", b"p", "q") for i in range(200)]
+    ledger = copies.Ledger(spark, new_path(spark, "test-ledger"), buckets=2, keys_per_bucket=10)
+    ledger.fold(copies.keyed(table(spark, rows[:30])))
+    assert ledger.buckets == 2 and all(len([n for n in list_names(spark, f"{p}/bucket={b}") if n.endswith(".parquet")]) == 1 for b, (p, _) in ledger.files.items())
+    ledger.fold(copies.keyed(table(spark, rows)))
+    assert ledger.buckets == 23 and ledger.keys == 200 and sorted(r.copies for r in ledger.read().collect()) == [1] * 170 + [2] * 30
+    assert sum(n for _, n in ledger.files.values()) == 200

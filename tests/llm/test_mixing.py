@@ -58,3 +58,21 @@ def test_documents(spark):
     s = mixing.shares(uses, plan).collect()
     assert len(s) == 41 and all(r.most_copies <= r.max_repeats for r in s)
     assert all(abs(sum(r.target_share for r in s if r.mix_id == m) - 1) < 1e-9 and abs(sum(r.actual_share for r in s if r.mix_id == m) - 1) < 1e-9 for m in (1, 2, 3, 4))
+
+
+def test_size_asked_for(spark):
+    """Sources that their greatest number keeps from their share fall short, and the report says so."""
+    t = targets(spark, [(1, "big-source", 1.0, 2), (1, "small", 1.0, 3)])
+    uses, plan = mixing.mix(docs(spark, DOCS), t, total_tokens=20_000)
+    got = {r.source: r for r in mixing.shares(uses, plan).collect()}
+    per = {r.source: r.tokens for r in plan.collect()}
+    assert got["small"].wanted_tokens == got["big-source"].wanted_tokens == 10_000
+    assert got["small"].used_tokens == 3 * per["small"] == 10_000 - got["small"].shortfall_tokens and got["small"].most_copies == 3
+    assert got["big-source"].shortfall_tokens == 0 and got["big-source"].used_tokens == pytest.approx(10_000, rel=0.1)
+    assert all(r.shortfall_tokens == 0 for r in mixing.shares(*mixing.mix(docs(spark, DOCS), t)).collect())
+
+
+def test_audit(spark):
+    uses, plan = mixing.mix(*(spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "mix_targets")), total_tokens=200_000)
+    assert all(r.out_of_range == 0 for r in mixing.audit(uses, plan).collect())
+    assert sum(r.out_of_range for r in mixing.audit(uses.withColumn("copies", uses.copies + 2), plan).collect()) == uses.count()
