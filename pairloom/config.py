@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 from typing import Any
 
 SHUFFLES = ("none", "local", "global")
-STRATEGIES = ("resize_and_pad", "center_crop", "resize_exact")
+STRATEGIES = ("resize_and_pad", "center_crop", "resize")
 INTERPOLATIONS = ("nearest", "bilinear", "bicubic", "lanczos")
 COLOURS = ("RGB", "BGR", "L")
 DTYPES = ("float32", "uint8")
 COMPRESSIONS = (None, "none", "lz4")
+PADDINGS = ("max_length", "longest", "do_not_pad")
 LOG_LEVELS = ("DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL")
 
 
@@ -35,6 +36,12 @@ class DatasetConfig:
     column_mapping: dict[str, str] = field(default_factory=dict)
     max_samples: int | None = None
     fallbacks: tuple[str, ...] = ()
+    config_name: str | None = None
+    split: str | None = None
+
+    def location(self) -> str:
+        """Where the rows are: the path, and below it the configuration and the split if they are named."""
+        return "/".join(x for x in (self.path.rstrip("/") if self.path != "/" else self.path, self.config_name, self.split) if x)
 
 
 @dataclass(frozen=True)
@@ -55,6 +62,9 @@ class ImageConfig:
 class TokenizerConfig:
     name: str = "hash"
     max_length: int = 512
+    padding: str = "max_length"
+    truncation: bool = True
+    add_special_tokens: bool = True
     dynamic_text_padding: bool = False
     folder: str = "/opt/tokenizers"
 
@@ -77,8 +87,10 @@ class PipelineConfig:
     tokenizer: TokenizerConfig = field(default_factory=TokenizerConfig)
     shard: ShardConfig = field(default_factory=ShardConfig)
     shuffling: str = "none"
+    num_workers: int = 4
     seed: int = 42
     log_level: str = "INFO"
+    progress_interval: int = 50
     streaming_chunk_size: int = 500
     fail_fast: bool = False
 
@@ -93,6 +105,8 @@ class PipelineConfig:
         return dataclasses.asdict(self)
 
 
+# Other names of settings.
+_ALIASES = {"hf_dataset_id": "path", "hf_config_name": "config_name", "model_name_or_path": "name"}
 _PARTS = {"dataset": DatasetConfig, "image": ImageConfig, "tokenizer": TokenizerConfig, "shard": ShardConfig}
 
 
@@ -102,6 +116,8 @@ def _build(kind: type, data: Any) -> Any:
     known = {f.name for f in dataclasses.fields(kind)}
     values = {}
     for k, v in data.items():
+        k = _ALIASES.get(k, k)
+        v = v.upper() if k == "log_level" and isinstance(v, str) else v
         if k in known:
             values[k] = _build(_PARTS[k], v) if kind is PipelineConfig and k in _PARTS else tuple(v) if isinstance(v, list) else v
     try:
@@ -116,6 +132,10 @@ def check(c: PipelineConfig) -> None:
     rules = [
         (c.shuffling in SHUFFLES, f"shuffling must be one of {SHUFFLES}"),
         (c.log_level in LOG_LEVELS, f"log_level must be one of {LOG_LEVELS}"),
+        (whole(c.num_workers) and c.num_workers >= 0, "num_workers must be 0 at least"),
+        (whole(c.progress_interval) and c.progress_interval >= 1, "progress_interval must be 1 at least"),
+        (c.tokenizer.padding in PADDINGS, f"tokenizer.padding must be one of {PADDINGS}"),
+        (all(isinstance(x, bool) for x in (c.tokenizer.truncation, c.tokenizer.add_special_tokens, c.tokenizer.dynamic_text_padding, c.fail_fast)), "switches must be true or false"),
         (whole(c.seed), "seed must be a whole number"),
         (whole(c.streaming_chunk_size) and c.streaming_chunk_size >= 1, "streaming_chunk_size must be 1 at least"),
         (c.dataset.max_samples is None or (whole(c.dataset.max_samples) and c.dataset.max_samples >= 1), "dataset.max_samples must be 1 at least"),

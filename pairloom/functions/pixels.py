@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 
+from pairloom.functions.jpeg import decode_jpeg
+
 PNG_MARK = b"\x89PNG\r\n\x1a\n"
 KERNELS = {"bilinear": 1.0, "bicubic": 2.0, "lanczos": 3.0}
 # Weights of red, green and blue in grey.
@@ -14,8 +17,49 @@ GREY = (299, 587, 114)
 CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
 
 
+# Where the seven passes of an interlaced PNG start and how far apart their pixels are.
+PASSES = ((0, 0, 8, 8), (0, 4, 8, 8), (4, 0, 8, 4), (0, 2, 4, 4), (2, 0, 4, 2), (0, 1, 2, 2), (1, 0, 2, 1))
+
+
+def decode(data: bytes | None) -> np.ndarray:
+    """Height x width x 3 bytes (RGB) of a PNG or JPEG image, and of what else Pillow reads where it is installed.
+
+    Raises ValueError for null, other, damaged or cut files.
+    """
+    data = bytes(data) if data else b""
+    if data.startswith(PNG_MARK):
+        return decode_png(data)
+    if data.startswith(b"\xff\xd8"):
+        return decode_jpeg(data)
+    try:
+        from PIL import Image
+    except ImportError:
+        raise ValueError("not a PNG or JPEG image") from None
+    import io
+
+    try:
+        return np.asarray(Image.open(io.BytesIO(data)).convert("RGB"))
+    except Exception as why:
+        raise ValueError("not an image that can be read") from why
+
+
+def head_size(data: bytes | None) -> tuple[int | None, int | None]:
+    """(width, height) that a PNG or JPEG file's head tells; (None, None) for others."""
+    data = bytes(data) if data else b""
+    if data.startswith(PNG_MARK) and len(data) >= 24:
+        return struct.unpack_from(">II", data, 16)
+    at = 2
+    while data.startswith(b"\xff\xd8") and at + 9 <= len(data) and data[at] == 0xFF:
+        kind = data[at + 1]
+        if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+            height, width = struct.unpack_from(">HH", data, at + 5)
+            return width, height
+        at += 2 + struct.unpack_from(">H", data, at + 2)[0] if kind != 0xFF else 1
+    return None, None
+
+
 def decode_png(data: bytes | None) -> np.ndarray:
-    """Height x width x 3 bytes (RGB) of a PNG of 8 bits (grey, colour, palette; alpha is dropped).
+    """Height x width x 3 bytes (RGB) of a PNG (1 to 16 bits, plain or interlaced; alpha is dropped).
 
     Raises ValueError for null, other, damaged or cut files.
     """
@@ -38,20 +82,45 @@ def decode_png(data: bytes | None) -> np.ndarray:
             elif kind == b"IEND":
                 break
         w, h, depth, colour, _, _, interlace = head
-        if depth != 8 or interlace or not w or not h:
-            raise ValueError("PNG images of 8 bits without interlace are supported")
         n = CHANNELS[colour]
-        lines = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8).reshape(h, 1 + w * n)
+        if depth not in (1, 2, 4, 8, 16) or not w or not h or (depth < 8 and n > 1) or interlace > 1:
+            raise ValueError("damaged PNG image")
+        raw = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8)
     except (struct.error, zlib.error, TypeError, KeyError) as why:
         raise ValueError("damaged PNG image") from why
-    out = _unfilter(lines[:, 0], lines[:, 1:].astype(np.int16), n).reshape(h, w, n).astype(np.uint8)
+    out = np.zeros((h, w, n), np.uint16)
+    at = 0
+    for top, left, down, right in PASSES if interlace else ((0, 0, 1, 1),):
+        ph, pw = -(-(h - top) // down), -(-(w - left) // right)
+        if ph <= 0 or pw <= 0:
+            continue
+        line = -(-pw * n * depth // 8)
+        part = raw[at : at + ph * (1 + line)]
+        if len(part) < ph * (1 + line):
+            raise ValueError("damaged PNG image")
+        at += len(part)
+        part = part.reshape(ph, 1 + line)
+        plain = _unfilter(part[:, 0], part[:, 1:].astype(np.int16), max(1, n * depth // 8)).astype(np.uint8)
+        out[top::down, left::right] = _samples(plain, depth, pw * n).reshape(ph, pw, n)
     if colour == 3:
         if palette is None or out.max() >= len(palette):
             raise ValueError("damaged PNG image")
         return palette[out[:, :, 0]]
+    # Less than 8 bits are spread over 0 to 255; of 16 bits the upper 8 are kept.
+    out = (out >> 8 if depth == 16 else out * (255 // ((1 << min(depth, 8)) - 1))).astype(np.uint8)
     return np.repeat(out[:, :, :1], 3, axis=2) if n < 3 else out[:, :, :3]
 
 
+def _samples(lines: np.ndarray, depth: int, count: int) -> np.ndarray:
+    """Numbers of ``depth`` bits, ``count`` in each line of bytes."""
+    if depth == 8:
+        return lines
+    if depth == 16:
+        return lines.view(">u2")
+    bits = np.unpackbits(lines, axis=1)[:, : count * depth].reshape(len(lines), count, depth)
+    return bits @ (1 << np.arange(depth - 1, -1, -1))
+
+
 def _unfilter(kinds: np.ndarray, lines: np.ndarray, n: int) -> np.ndarray:
     above = np.zeros(lines.shape[1], np.int16)
     for i, kind in enumerate(kinds):
@@ -107,6 +176,7 @@ def _kernel(name: str, x: np.ndarray) -> np.ndarray:
     return np.where(x < 3, np.sinc(x) * np.sinc(x / 3), 0)
 
 
+@lru_cache(maxsize=256)
 def _weights(size: int, new: int, name: str) -> np.ndarray:
     """new x size matrix of weights; the kernel is widened when the size shrinks."""
     scale = size / new
@@ -128,15 +198,17 @@ def resize(pixels: np.ndarray, h: int, w: int, interpolation: str = "bicubic") -
         return pixels[ys][:, xs]
     if interpolation not in KERNELS:
         raise ValueError(f"interpolation {interpolation!r} is not nearest, {', '.join(KERNELS)}")
-    x = np.einsum("ab,bcd->acd", _weights(pixels.shape[0], h, interpolation), pixels.astype(np.float64), optimize=True)
-    x = np.einsum("ab,cbd->cad", _weights(pixels.shape[1], w, interpolation), x, optimize=True)
-    return np.clip(np.floor(x + 0.5), 0, 255).astype(np.uint8)
+    rows, columns, channels = pixels.shape
+    x = _weights(rows, h, interpolation) @ pixels.reshape(rows, columns * channels).astype(np.float64)
+    x = _weights(columns, w, interpolation) @ x.reshape(h, columns, channels)
+    x += 0.5
+    return np.clip(np.floor(x, out=x), 0, 255, out=x).astype(np.uint8)
 
 
 def fit(pixels: np.ndarray, target_h: int, target_w: int, strategy: str = "resize_and_pad", interpolation: str = "bicubic", pad_value: int = 0) -> np.ndarray:
     """Pixels of exactly the target size by one of three strategies."""
     h, w, c = pixels.shape
-    if strategy == "resize_exact":
+    if strategy == "resize":
         return resize(pixels, target_h, target_w, interpolation)
     if strategy == "resize_and_pad":
         s = min(target_w / w, target_h / h)
@@ -150,7 +222,7 @@ def fit(pixels: np.ndarray, target_h: int, target_w: int, strategy: str = "resiz
         nh, nw = max(target_h, int(h * s)), max(target_w, int(w * s))
         top, left = (nh - target_h) // 2, (nw - target_w) // 2
         return resize(pixels, nh, nw, interpolation)[top : top + target_h, left : left + target_w]
-    raise ValueError(f"strategy {strategy!r} is not resize_and_pad, center_crop or resize_exact")
+    raise ValueError(f"strategy {strategy!r} is not resize_and_pad, center_crop or resize")
 
 
 def normalised(pixels: np.ndarray, mean: tuple[float, ...], std: tuple[float, ...]) -> np.ndarray:
@@ -158,8 +230,9 @@ def normalised(pixels: np.ndarray, mean: tuple[float, ...], std: tuple[float, ..
     c = pixels.shape[2]
     if len(mean) != c or len(std) != c:
         raise ValueError(f"mean and std must have {c} values")
-    x = pixels.astype(np.float32) / np.float32(255)
-    return np.ascontiguousarray(((x - np.float32(mean)) / np.float32(std)).transpose(2, 0, 1), dtype=np.float32)
+    # A byte has 256 values: they are looked up, by channel.
+    values = (np.arange(256, dtype=np.float32)[None, :] / np.float32(255) - np.float32(mean)[:, None]) / np.float32(std)[:, None]
+    return np.stack([values[i][pixels[:, :, i]] for i in range(c)])
 
 
 def preserved(pixels: np.ndarray, longest: int, interpolation: str = "bicubic") -> np.ndarray:

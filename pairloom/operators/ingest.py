@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -95,13 +96,19 @@ def first_with_rows(candidates: list) -> DataFrame:
     """The first of several sources that can be read and has rows.
 
     ``candidates`` are functions that give a DataFrame; a source that cannot be
-    read is passed over. Raises ValueError if none has rows.
+    read is passed over. ValueError if none has rows; it carries the last reason.
     """
+    last: Exception | None = None
     for source in candidates:
         try:
             df = source()
             if not df.isEmpty():
                 return df
-        except Exception as why:  # noqa: BLE001 - a missing source is what the next one is for
-            del why
-    raise ValueError("no source has rows")
+        except (AnalysisException, OSError, ValueError) as why:
+            last = why
+    raise ValueError(f"no source has rows{'' if last is None else f': {last}'}") from last
+
+
+def sampled(df: DataFrame, n: int, seed: int, row_index: str = "row_index") -> DataFrame:
+    """``n`` rows, or all if there are fewer, by seeded hash of their number: the head of a shuffle."""
+    return df.orderBy(F.xxhash64(F.lit(seed), F.col(row_index)), row_index).limit(n)

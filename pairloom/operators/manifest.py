@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.layout import FOOTER_BYTES
+from pairloom.sources.shards import listing
 
 MANIFEST_VERSION = 1
 
@@ -76,6 +77,26 @@ def build(spark: SparkSession, folder: str, pattern: str = "shard_*.bin", checks
     }
 
 
+def committed(folder: str) -> dict:
+    """Manifest of a folder as its last commit counted and summed it while writing; no shard is read.
+
+    :func:`build` reads the files again and is the check of it. FileNotFoundError
+    where nothing was committed.
+    """
+    said = listing(folder.removeprefix("file://"))
+    if said is None:
+        raise FileNotFoundError(f"{folder} has no committed shards")
+    shards = [{k: x[k] for k in ("path", "sample_count", "size_bytes", "checksum_crc32")} for x in said["shards"]]
+    return {
+        "version": MANIFEST_VERSION,
+        "created_at": datetime.now(timezone.utc).isoformat(),
+        "total_samples": sum(x["sample_count"] for x in shards),
+        "total_shards": len(shards),
+        "total_bytes": sum(x["size_bytes"] for x in shards),
+        "shards": shards,
+    }
+
+
 def save(manifest: dict, path: str) -> None:
     with open(path, "w", encoding="utf-8") as out:
         json.dump(manifest, out, indent=2)

@@ -44,9 +44,23 @@ def global_shuffle(df: DataFrame, id_col: str, seed: int, epoch: int = 0, name:
     return with_position(keyed, F.substring("__k", 1, KEY_DIGITS), [F.col("__k"), F.col(id_col)], name).drop("__k")
 
 
-def sequential(df: DataFrame, id_col: str, width: int = 65536, name: str = "position") -> DataFrame:
-    """Places in the order of a whole-number id."""
-    return with_position(df, F.floor(F.col(id_col) / F.lit(width)), [F.asc_nulls_first(id_col)], name)
+def sequential(df: DataFrame, id_col: str, buckets: int = 4096, name: str = "position") -> DataFrame:
+    """Places in the order of a whole-number id, whatever numbers the ids are.
+
+    The ids' range is cut at approximate quantiles, so that sparse ids do not make a
+    bucket for each row, nor dense ones one bucket for all.
+    """
+    low, high, rows = df.agg(F.min(id_col), F.max(id_col), F.count(F.lit(1))).first()
+    if low is None or high == low:
+        return with_position(df, F.lit(0), [F.asc_nulls_first(id_col)], name)
+    wanted = max(1, min(buckets, rows // 16_384))
+    if high - low < 4 * rows:  # about dense: ranges of equal width hold about equally many
+        bucket = F.floor((F.col(id_col) - F.lit(low)) / F.lit(max(1, -(-(high - low + 1) // wanted))))
+    else:
+        cuts = sorted(set(df.agg(F.percentile_approx(id_col, [(i + 1) / wanted for i in range(wanted - 1)], 10 * wanted)).first()[0] or [])) if wanted > 1 else []
+        bucket = F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < F.col(id_col))) if cuts else F.lit(0)
+        bucket = F.when(F.col(id_col).isNotNull(), bucket)
+    return with_position(df, bucket, [F.asc_nulls_first(id_col)], name)
 
 
 def local_shuffle(df: DataFrame, group: str, id_col: str, seed: int, name: str = "position") -> DataFrame:
@@ -80,46 +94,48 @@ def buffer_order(n: int, size: int, rng: np.random.Generator) -> np.ndarray:
     return out
 
 
-def shuffle_buffer(df: DataFrame, size: int, seed: int) -> DataFrame:
-    """(all columns, in_pos, out_pos): a streaming shuffle of each partition through a buffer.
+def shuffle_buffer(df: DataFrame, size: int, seed: int, group: str, order: str) -> DataFrame:
+    """(all columns, in_pos, out_pos): a streaming shuffle of each ``group``, in the order of ``order``, through a buffer.
 
-    out_pos >= in_pos - size + 1. Sequential inside a partition by its nature;
-    only indices are held beside the buffered batch.
+    Positions count from 0 in each group; out_pos >= in_pos - size + 1. The random
+    numbers are seeded by the group's name, so groups differ from each other and
+    results do not depend on tasks or Arrow batches. Sequential inside a group by
+    its nature; ``size`` rows are held.
     """
     schema = StructType([*df.schema.fields, StructField("in_pos", LongType()), StructField("out_pos", LongType())])
     names = df.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rng = np.random.default_rng(seed)
-        held = pd.DataFrame()
-        seen = out = 0
+        held: list[tuple] = []
+        current, rng, seen, given = None, np.random.default_rng(seed), 0, 0
+        out: list[tuple] = []
+
+        def give(at: int) -> None:
+            nonlocal given
+            out.append((*held[at], given))
+            given += 1
+
+        def flush() -> None:
+            for at in rng.permutation(len(held)):
+                give(int(at))
+            held.clear()
+
+        key = names.index(group)
         for pdf in batches:
-            pdf = pdf.assign(in_pos=np.arange(seen, seen + len(pdf)))
-            seen += len(pdf)
-            held = pd.concat([held, pdf]) if len(held) else pdf
-            give = len(held) - size
-            if size <= 0:
-                give = len(held)
-            if give > 0:
-                order = buffer_order(len(held), size, rng)[:give]
-                part = held.iloc[order].assign(out_pos=np.arange(out, out + give))
-                out += give
-                held = held.drop(held.index[order]) if held.index.is_unique else held.iloc[np.setdiff1d(np.arange(len(held)), order)]
-                held = held.reset_index(drop=True)
-                yield part[[*names, "in_pos", "out_pos"]]
-        if len(held):
-            order = rng.permutation(len(held))
-            yield held.iloc[order].assign(out_pos=np.arange(out, out + len(held)))[[*names, "in_pos", "out_pos"]]
-
-    return df.mapInPandas(run, schema)
-
-
-def exact_permutation(spark, n: int, seed: int, most: int = 10_000_000) -> DataFrame:
-    """(row_index, position) of the numpy permutation with this seed, for runs that must repeat an old order.
-
-    Made on the driver and so refused above ``most`` rows; use :func:`global_shuffle` there.
-    """
-    if n > most:
-        raise ValueError(f"an exact permutation of more than {most} rows; use global_shuffle")
-    order = np.random.RandomState(seed).permutation(n)
-    return spark.createDataFrame(pd.DataFrame({"row_index": order.astype("int64"), "position": np.arange(n, dtype="int64")}))
+            for row in pdf.itertuples(index=False, name=None):
+                if (name := f"{seed}:{row[key]}") != current:
+                    flush()
+                    current, rng, seen, given = name, np.random.default_rng(list(name.encode())), 0, 0
+                if len(held) >= max(size, 1):
+                    at = int(rng.integers(len(held)))
+                    give(at)
+                    held[at] = (*row, seen)
+                else:
+                    held.append((*row, seen))
+                seen += 1
+            yield pd.DataFrame(out, columns=[*names, "in_pos", "out_pos"])
+            out.clear()
+        flush()
+        yield pd.DataFrame(out, columns=[*names, "in_pos", "out_pos"])
+
+    return df.repartition(group).sortWithinPartitions(group, order).mapInPandas(run, schema)

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.config import ImageConfig, PipelineConfig, ShardConfig
+from pairloom.functions.text import mask, padded
 from pairloom.operators import delivery, ingest, manifest, ordering, process, shards
-from pairloom.pipeline import assigned
-from pairloom.sources.shards import read_shards, write_shards
+from pairloom.pipeline import SAMPLE, assigned, decodable, placed, write
+from pairloom.plans.ingest import _TOK, _VALID
+from pairloom.plans.layout_sql import WHOLE_PNG
+from pairloom.sources.shards import read_shards
 from pairloom.storage import materialize, new_path, spread
 from pairloom.streaming.arrivals import arrivals
 from pairloom.tables import table
@@ -31,28 +34,31 @@ def image_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checksums of normalised images of one size."""
+    """Normalised images of one size: what lies in each, and that padding is where geometry puts it."""
     c = ImageConfig(storage_dtype="float32", dynamic_padding=False)
     d = process.decoded(spread(table(spark, sf_dir, "samples").select("row_index", "image_bytes")), c)
-    return d.select("row_index", "pixels.height", "pixels.width", F.crc32("pixels.image").alias("crc"))
+    return d.select("row_index", "pixels.channels", "pixels.height", "pixels.width", F.octet_length("pixels.image").alias("image_len"))
 
 
-def _written(spark: SparkSession, sf_dir: str, compression: str | None, shuffling: str = "none") -> tuple[str, DataFrame]:
-    c = PipelineConfig(shuffling=shuffling, shard=ShardConfig(max_samples_per_shard=1000, compression=compression))
-    good = materialize(process.processed(_samples(spark, sf_dir), c), "processed").where("error is null")
-    done = materialize(assigned(good, c), "assigned")
+def _written(spark: SparkSession, sf_dir: str, compression: str | None, shuffling: str = "none") -> tuple[str, DataFrame, PipelineConfig]:
+    """(folder of shards of 1000 records that can be processed, the samples where they were written, settings)."""
+    c = PipelineConfig(shuffling=shuffling, num_workers=0, shard=ShardConfig(max_samples_per_shard=1000, compression=compression))
+    valid = _samples(spark, sf_dir)
+    places = materialize(assigned(decodable(valid, c), c), "places")
     folder = _shared(spark, "shards")
-    write_shards(done, folder, token_length=c.tokenizer.max_length, compression=compression or "none")
-    return folder, done
+    write(spark, valid, places, c, folder)
+    return folder, placed(valid.select(*SAMPLE), places), c
 
 
 def _round_trip(spark: SparkSession, sf_dir: str, compression: str | None) -> DataFrame:
-    """Rows that come back equal and rows that do not (none)."""
-    folder, done = _written(spark, sf_dir, compression)
-    cols = ["channels", "height", "width", "orig_height", "orig_width", "image", "q_ids", "q_mask", "a_ids", "a_mask", "metadata"]
-    back = read_shards(spark, folder, verify_crc=True)
-    same = lambda: (F.xxhash64(*cols)).alias("h")
-    both = done.select("shard_id", "local_index", same()).alias("a").join(back.select("shard_id", "local_index", same()).alias("b"), ["shard_id", "local_index"], "full_outer")
+    """Records that come back equal and records that do not (none), whole: pixels, tokens with their padding, masks."""
+    folder, samples, c = _written(spark, sf_dir, compression)
+    n = c.tokenizer.max_length
+    ids = [f(F.col(x), n) for x in ("q_ids", "a_ids") for f in (padded, mask)]
+    cols = ["channels", "height", "width", "orig_height", "orig_width", "image", "metadata"]
+    done = process.records(samples, c, ("shard_id", "local_index")).select("shard_id", "local_index", F.xxhash64(*cols, *ids).alias("h"))
+    back = read_shards(spark, folder, verify_crc=True).select("shard_id", "local_index", F.xxhash64(*cols, "q_ids", "q_mask", "a_ids", "a_mask").alias("h"))
+    both = done.alias("a").join(back.alias("b"), ["shard_id", "local_index"], "full_outer")
     return both.groupBy("shard_id").agg(F.count_if(F.col("a.h") == F.col("b.h")).alias("equal"), F.count_if(~F.col("a.h").eqNullSafe(F.col("b.h"))).alias("different"))
 
 
@@ -65,27 +71,35 @@ def lz4_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shard_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest entries of written shards, from their bytes."""
-    folder, _ = _written(spark, sf_dir, None, "local")
-    return manifest.read_shard_files(spark, folder)
+    """Manifest entries of written shards, from their bytes, and whether the writer's own count, size and checksum agree."""
+    folder, _, _ = _written(spark, sf_dir, None, "local")
+    said = {x["path"]: x for x in manifest.committed(folder)["shards"]}
+    own = spark.createDataFrame([(k, x["sample_count"], x["size_bytes"], x["checksum_crc32"]) for k, x in said.items()], "path string, n bigint, size bigint, crc string")
+    files = manifest.read_shard_files(spark, folder)
+    agrees = (F.col("n") == F.col("sample_count")) & (F.col("size") == F.col("size_bytes")) & (F.col("crc") == F.col("checksum_crc32"))
+    return files.join(own, "path", "left").select("path", "format_version", "sample_count", F.coalesce(agrees, F.lit(False)).alias("agrees"))
 
 
 def shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some records of one shard, sought through the offset table."""
-    folder, _ = _written(spark, sf_dir, None)
-    return read_shards(spark, folder, shard_id=0, local_index=[0, 7, 99]).select("shard_id", "local_index", "height", "width", "rec_offset", "rec_len")
+    """Some records of each shard, sought through the offset table."""
+    folder, _, _ = _written(spark, sf_dir, None)
+    found = read_shards(spark, folder, local_index=[0, 7, 99])
+    return found.select("shard_id", "local_index", F.get_json_object("metadata", "$.sample_id").alias("sample_id"), "height", "width", (F.col("rec_offset") % 64 == 0).alias("aligned"), F.aggregate("a_mask", F.lit(0), lambda x, y: x + y).alias("answer_tokens"))
 
 
 def collate_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Padded, normalised batches of an epoch: sizes and checksums."""
-    folder, _ = _written(spark, sf_dir, None)
-    b = delivery.BatchLoader(read_shards(spark, folder), delivery.LoaderConfig(batch_size=32)).batches()
-    return b.select("batch_id", "size", "height", "width", "tokens", F.crc32("images").alias("images_crc"), F.crc32("padding_mask").alias("mask_crc"))
+    """Padded, normalised batches of an epoch: sizes, real pixels, tokens."""
+    folder, _, _ = _written(spark, sf_dir, None)
+    b = delivery.BatchLoader(folder, delivery.LoaderConfig(batch_size=32), spark=spark).batches()
+    area = F.aggregate(F.zip_with("heights", "widths", lambda h, w: h.cast("bigint") * w), F.lit(0).cast("bigint"), lambda x, y: x + y)
+    return b.select("batch_id", "size", "height", "width", "tokens", area.alias("real_pixels"), (F.octet_length("images") == 12 * F.col("size") * F.col("height") * F.col("width")).alias("whole"))
 
 
 def shuffle_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Displacement of a streaming buffer of 1024 rows in each task."""
-    return ordering.shuffle_buffer(table(spark, sf_dir, "orders").select("o_orderkey"), 1024, 42).select("o_orderkey", "in_pos", "out_pos")
+    """Displacement of a streaming buffer of 1024 rows in each group of orders: rows, places used, and rows given out too early."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.pmod("o_orderkey", F.lit(8)).alias("part"))
+    moved = ordering.shuffle_buffer(o, 1024, 42, "part", "o_orderkey")
+    return moved.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("out_pos").alias("places"), F.count_if(F.col("out_pos") < F.col("in_pos") - 1023).alias("early"), (F.max("out_pos") + 1).alias("end"))
 
 
 def rotate_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,4 +121,26 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [image_decode, image_fit, shard_roundtrip, lz4_roundtrip, shard_files, shard_lookup, collate_dynamic, shuffle_buffer, rotate_by_size, stream_counts]
 
-ORACLES = {"stream_counts": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2"}
+# Sizes stand at fixed places of a PNG.
+_HEX = "hex(coalesce(image_bytes, ''::BLOB))"
+_WHOLE = WHOLE_PNG
+_W, _H = (f"CASE WHEN {_WHOLE} THEN CAST('0x' || substr({_HEX}, {at}, 8) AS INTEGER) END" for at in (33, 41))
+_SEQ = f"(SELECT *, row_number() OVER (ORDER BY row_index) - 1 AS p FROM (SELECT row_index, sample_id, question, answer, {_W} AS w, {_H} AS h FROM samples WHERE {_VALID} AND {_WHOLE}))"
+_ROUND = f"SELECT CAST(floor(p / 1000) AS BIGINT) AS shard_id, count(*) AS equal, CAST(0 AS BIGINT) AS different FROM {_SEQ} GROUP BY 1"
+_LEN_Q, _LEN_A = (f"len({_TOK.format(c=c)})" for c in ("question", "answer"))
+_EPOCH0 = f"(SELECT *, CAST(floor((row_number() OVER (ORDER BY md5('42:0:' || p), p) - 1) / 32) AS BIGINT) AS batch_id FROM {_SEQ})"
+_PER_WRITER = "(SELECT writer, row_index, rec_len, row_number() OVER (PARTITION BY writer ORDER BY row_index) AS i FROM (SELECT row_index, max(rec_len) AS rec_len, CAST(floor(min(shard_id) / 100) AS BIGINT) AS writer FROM shard_records GROUP BY row_index))"
+
+ORACLES = {
+    "stream_counts": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "image_decode": f"SELECT row_index, {_WHOLE} AS decodes, {_W} AS orig_width, {_H} AS orig_height, {_W} = image_width AND {_H} = image_height AS sizes_right FROM samples",
+    "image_fit": f"SELECT row_index, CASE WHEN {_WHOLE} THEN 3 END AS channels, CASE WHEN {_WHOLE} THEN 384 END AS height, CASE WHEN {_WHOLE} THEN 384 END AS width, CASE WHEN {_WHOLE} THEN 3 * 384 * 384 * 4 END AS image_len FROM samples",
+    "shard_roundtrip": _ROUND,
+    "lz4_roundtrip": _ROUND,
+    "shard_files": f"SELECT printf('shard_%04d.bin', shard_id) AS path, CAST(2 AS BIGINT) AS format_version, CAST(equal AS BIGINT) AS sample_count, true AS agrees FROM ({_ROUND})",
+    "shard_lookup": f"SELECT CAST(floor(p / 1000) AS INTEGER) AS shard_id, CAST(p % 1000 AS INTEGER) AS local_index, sample_id, h AS height, w AS width, true AS aligned, CAST(least({_LEN_A}, 512) AS INTEGER) AS answer_tokens FROM {_SEQ} WHERE p % 1000 IN (0, 7, 99)",
+    "collate_dynamic": f"SELECT batch_id, CAST(count(*) AS INTEGER) AS size, max(h) AS height, max(w) AS width, CAST(greatest(1, max(greatest(least({_LEN_Q}, 512), least({_LEN_A}, 512)))) AS INTEGER) AS tokens, CAST(sum(CAST(h AS BIGINT) * w) AS BIGINT) AS real_pixels, true AS whole FROM {_EPOCH0} GROUP BY batch_id",
+    "shuffle_buffer": "SELECT o_orderkey % 8 AS part, count(*) AS rows, count(*) AS places, CAST(0 AS BIGINT) AS early, count(*) AS \"end\" FROM orders GROUP BY 1",
+    # A new shard once the one before is full: a sum that starts again, row by row.
+    "rotate_by_size": f"WITH RECURSIVE r AS MATERIALIZED {_PER_WRITER}, g AS (SELECT writer, i, row_index, 0 AS local_shard, rec_len AS filled, 1 AS n FROM r WHERE i = 1 UNION ALL SELECT r.writer, r.i, r.row_index, g.local_shard + CASE WHEN g.filled >= 65536 OR g.n >= 64 THEN 1 ELSE 0 END, CASE WHEN g.filled >= 65536 OR g.n >= 64 THEN r.rec_len ELSE g.filled + r.rec_len END, CASE WHEN g.filled >= 65536 OR g.n >= 64 THEN 1 ELSE g.n + 1 END FROM g JOIN r ON r.writer = g.writer AND r.i = g.i + 1) SELECT writer, row_index, local_shard FROM g",
+}

@@ -13,7 +13,7 @@ from pairloom.config import ImageConfig, TokenizerConfig
 from pairloom.functions import geometry, layout
 from pairloom.functions.text import has_text, mask, token_ids
 from pairloom.operators import ingest, loader, manifest, ordering, process, shards
-from pairloom.storage import materialize
+from pairloom.storage import grouped, materialize
 from pairloom.tables import table
 
 SEED, EPOCH, BATCH, WORLD, BLOCK, BUCKETS = 42, 3, 32, 4, 1024, 6
@@ -247,7 +247,8 @@ def batch_token_trim(spark, sf_dir):
 
 
 def collate_fixed(spark, sf_dir):
-    """Token arrays and pixels of each batch side by side, in the order of positions, by their checksums.
+    """Token arrays and pixels of each batch side by side, in the order of positions: checksums of the tokens, and
+    how many images and bytes of pixels were put together.
 
     Pixels are moved as stored bytes, and brought to one size where a batch is
     collated; an image that cannot be decoded is 0 there and does not count as one.
@@ -255,7 +256,6 @@ def collate_fixed(spark, sf_dir):
     s = table(spark, sf_dir, "samples").select("row_index", "image_bytes", token_ids(F.col("question")).alias("q"), token_ids(F.col("answer")).alias("a"))
     b = loader.epoch_batches(s, "row_index", SEED, EPOCH, BATCH)
     c = ImageConfig(storage_dtype="float32", dynamic_padding=False)
-    empty = np.zeros((3, *c.target_size), np.float32).tobytes()
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("position", kind="stable")
@@ -267,14 +267,16 @@ def collate_fixed(spark, sf_dir):
                 ids[i, :n], mask_[i, :n] = tokens[:n], 1
             for kind, values in (("ids", ids), ("mask", mask_)):
                 row[f"{name}_{kind}_md5"] = hashlib.md5(",".join(map(str, values.ravel().tolist())).encode()).hexdigest()
-        images = [process.image_record(x, c)[0] for x in group["image_bytes"]]
-        pixels = hashlib.md5()
-        for image in images:
-            pixels.update(empty if image is None else image)
-        return pd.DataFrame([row | {"images": sum(x is not None for x in images), "pixels_md5": pixels.hexdigest()}])
-
-    schema = "batch_id bigint, batch_size bigint, q_ids_md5 string, q_mask_md5 string, a_ids_md5 string, a_mask_md5 string, images bigint, pixels_md5 string"
-    return b.select("batch_id", "position", "image_bytes", "q", "a").groupBy("batch_id").applyInPandas(run, schema)
+        pixels, decoded = np.zeros((len(group), 3, *c.target_size), np.float32), 0
+        for place, x in zip(pixels, group["image_bytes"]):
+            image = process.image_record(x, c)[0]
+            if image is not None:
+                place[:] = np.frombuffer(image, np.float32).reshape(place.shape)
+                decoded += 1
+        return pd.DataFrame([row | {"images": decoded, "pixel_bytes": len(pixels.tobytes())}])
+
+    schema = "batch_id bigint, batch_size bigint, q_ids_md5 string, q_mask_md5 string, a_ids_md5 string, a_mask_md5 string, images bigint, pixel_bytes bigint"
+    return grouped(b.select("batch_id", "position", "image_bytes", "q", "a"), "batch_id").groupBy("batch_id").applyInPandas(run, schema)
 
 
 QUERIES = [

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pairloom.functions.geometry import aspect_bounds
 from pairloom.plans.ingest import _TOK, _ID, _VALID, sql_has
-from pairloom.plans.layout import BATCH, BLOCK, BUCKETS, EPOCH, LONGEST, SEED, TARGET, WORLD
+from pairloom.plans.layout import BATCH, BLOCK, BUCKETS, EPOCH, LONGEST, SEED, TARGET, TOKENS, WORLD
+
+#: Is the file a whole PNG: it begins with the mark and ends with the last chunk.
+WHOLE_PNG = "(hex(coalesce(image_bytes, ''::BLOB)) LIKE '89504E470D0A1A0A%0000000049454E44AE426082')"
 
 _DIMS = "(SELECT o_orderkey AS id, CAST(64 + (o_orderkey * 7919) % 4033 AS INTEGER) AS w, CAST(64 + (o_orderkey * 104729) % 4033 AS INTEGER) AS h FROM orders)"
 _D = "CAST({x} AS DOUBLE)"
@@ -88,6 +91,6 @@ ORACLES = {
     "flag_bits": "SELECT DISTINCT shard_id, (f & 1) <> 0 AS uint8, (f & 2) <> 0 AS sample_dims, (f & 4) <> 0 AS lz4, (f & 8) <> 0 AS zstd FROM (SELECT shard_id, CAST(shard_id % 16 AS INTEGER) AS f FROM shards)",
     "batch_pad_dims": f"SELECT batch_id, count(*) AS batch_size, max(h) AS max_h, max(w) AS max_w, greatest(1, max(greatest(coalesce(q, 0), coalesce(a, 0)))) AS max_t FROM {_BATCHED} GROUP BY batch_id",
     "padding_waste": f"SELECT batch_id, round(1 - CAST(sum(CAST(h AS BIGINT) * w) AS DOUBLE) / CAST(count(*) * max(h) * max(w) AS DOUBLE), 6) AS waste FROM {_BATCHED} GROUP BY batch_id",
-    "batch_token_trim": f"SELECT batch_id, greatest(1, max(greatest(least(q, 64), least(a, 64)))) AS tokens_kept FROM (SELECT len({_TOK.format(c='question')}) AS q, len({_TOK.format(c='answer')}) AS a, CAST(floor((row_number() OVER ({_order(SEED + EPOCH, 'row_index')}) - 1) / {BATCH}) AS BIGINT) AS batch_id FROM samples WHERE {sql_has('question')} AND {sql_has('answer')}) GROUP BY batch_id",
-    "collate_fixed": f"SELECT batch_id, count(*) AS batch_size, md5(string_agg(ids, ',' ORDER BY position)) AS ids_md5 FROM (SELECT position, CAST(floor(position / {BATCH}) AS BIGINT) AS batch_id, ids FROM (SELECT row_number() OVER ({_order(SEED + EPOCH, 'row_index')}) - 1 AS position, array_to_string(list_resize(list_transform({_TOK.format(c='question')}, lambda x: {_ID.format(t='x')}), 8, 0), ',') AS ids FROM samples)) GROUP BY batch_id",
+    "batch_token_trim": f"SELECT batch_id, greatest(1, max(greatest(least(q, {TOKENS}), least(a, {TOKENS})))) AS tokens_kept FROM (SELECT len({_TOK.format(c='question')}) AS q, len({_TOK.format(c='answer')}) AS a, CAST(floor((row_number() OVER ({_order(SEED + EPOCH, 'row_index')}) - 1) / {BATCH}) AS BIGINT) AS batch_id FROM samples WHERE {sql_has('question')} AND {sql_has('answer')}) GROUP BY batch_id",
+    "collate_fixed": f"SELECT batch_id, count(*) AS batch_size, {', '.join(f'md5(string_agg({x}, chr(44) ORDER BY position)) AS {x}_md5' for x in ('q_ids', 'q_mask', 'a_ids', 'a_mask'))}, count(*) FILTER (whole) AS images, count(*) * 3 * 384 * 384 * 4 AS pixel_bytes FROM (SELECT position, CAST(floor(position / {BATCH}) AS BIGINT) AS batch_id, whole, {', '.join(f'array_to_string(list_resize({x}, {TOKENS}, 0), chr(44)) AS {x}_ids, array_to_string(list_resize(list_transform({x}, lambda y: 1), {TOKENS}, 0), chr(44)) AS {x}_mask' for x in 'qa')} FROM (SELECT row_number() OVER ({_order(SEED + EPOCH, 'row_index')}) - 1 AS position, {WHOLE_PNG} AS whole, {', '.join(f'list_transform({_TOK.format(c=c)}, lambda x: {_ID.format(t=chr(120))}) AS {k}' for k, c in (('q', 'question'), ('a', 'answer')))} FROM samples)) GROUP BY batch_id",
 }

@@ -3,6 +3,10 @@
     read_shards(spark, folder, shard_id=3, local_index=[7, 8])
     write_shards(df, folder, token_length=128)
 
+A shard's number is the one in its file's name. A commit leaves the file
+``_shards.json`` in the folder, which has what a reader and the manifest need to know of
+each shard; without it headers are read.
+
 Options for reading: ``pattern``, ``verify_crc``, ``normalize`` (none, unit,
 meanstd), ``mean``, ``std``, ``payload`` (false leaves pixels and tokens null and
 reads no record), ``shard_id`` and ``local_index`` (numbers with commas; only
@@ -17,9 +21,12 @@ say the same and belong to one load.
 from __future__ import annotations
 
 import fnmatch
+import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,17 +59,100 @@ class ShardRange(InputPartition):
 
 @dataclass
 class Written(WriterCommitMessage):
+    """(shard, temporary path, samples, bytes, checksum, layout) of each file, and the rows that were left out."""
+
     files: list
+    rejected: int = 0
+
+
+#: What a commit leaves: the list of the folder's shards, and, while it is at work, what it has set out to do.
+LISTING, JOURNAL = "_shards.json", "_commit.json"
+
+
+def _put(path: str, value: object) -> None:
+    """Write JSON under another name and rename it: there as a whole or not at all."""
+    draft = f"{path}.{uuid.uuid4().hex}"
+    with open(draft, "w", encoding="utf-8") as out:
+        json.dump(value, out)
+        out.flush()
+        os.fsync(out.fileno())
+    os.replace(draft, path)
+
+
+def recover(folder: str) -> None:
+    """Finish a commit whose driver was lost; each step may be done twice."""
+    try:
+        with open(os.path.join(folder, JOURNAL), encoding="utf-8") as lines:
+            todo = json.load(lines)
+    except FileNotFoundError:
+        return
+
+    def move(pair: list[str]) -> None:
+        try:
+            os.replace(os.path.join(folder, pair[0]), os.path.join(folder, pair[1]))
+        except FileNotFoundError:
+            if not os.path.exists(os.path.join(folder, pair[1])):
+                raise
+
+    def drop(name: str) -> None:
+        if os.path.exists(path := os.path.join(folder, name)):
+            os.remove(path)
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, todo["move"]))
+        list(pool.map(drop, todo["drop"]))
+    _put(os.path.join(folder, LISTING), todo["listing"])
+    drop(JOURNAL)
+
 
+def listing(folder: str) -> dict | None:
+    """What the last commit said of the folder: ``shards`` (path, shard_id, sample_count, size_bytes,
+    checksum_crc32, layout) and ``rejected``. None if there was none."""
+    try:
+        with open(os.path.join(folder, LISTING), encoding="utf-8") as lines:
+            return json.load(lines)
+    except FileNotFoundError:
+        return None
 
-def list_shards(folder: str, pattern: str) -> list[str]:
-    """Shard files in the order of their names; FileNotFoundError and ValueError as for a manifest."""
+
+def shard_number(name: str, place: int) -> int:
+    """The last number in a file's name; its place in the list for names without one."""
+    found = re.findall(r"\d+", name)
+    return int(found[-1]) if found else place
+
+
+def list_shards(folder: str, pattern: str) -> list[tuple[int, str]]:
+    """(number, path) of shard files in the order of their numbers; FileNotFoundError and ValueError as for a manifest."""
     if not os.path.isdir(folder):
         raise FileNotFoundError(folder)
+    recover(folder)
     names = sorted(n for n in os.listdir(folder) if fnmatch.fnmatch(n, pattern))
     if not names:
         raise ValueError(f"no file {pattern} in {folder}")
-    return [os.path.join(folder, n) for n in names]
+    numbered = sorted((shard_number(n, i), n) for i, n in enumerate(names))
+    if len({k for k, _ in numbered}) < len(numbered):
+        raise ValueError(f"two files of one number in {folder}")
+    return [(k, os.path.join(folder, n)) for k, n in numbered]
+
+
+def _peek(path: str) -> tuple[int, list[int]]:
+    with ShardFile(path) as s:
+        h = s.header
+        return len(s), [h.version, h.flags & 3, h.channels, h.token_length]
+
+
+def shard_counts(folder: str, pattern: str = "shard_*.bin") -> list[tuple[int, int]]:
+    """(number, records) of each shard of a folder."""
+    return [(i, n) for i, _, n, _ in _looked_up(folder, list_shards(folder, pattern))]
+
+
+def _looked_up(folder: str, wanted: list[tuple[int, str]]) -> list[tuple[int, str, int, list[int]]]:
+    """(number, path, records, layout), from the folder's listing or else from the heads of the files."""
+    said = {x["path"]: (x["sample_count"], x["layout"]) for x in (listing(folder) or {}).get("shards", [])}
+    unknown = [p for _, p in wanted if os.path.basename(p) not in said]
+    with ThreadPoolExecutor(16) as pool:
+        said |= dict(zip(map(os.path.basename, unknown), pool.map(_peek, unknown)))
+    return [(i, p, *said[os.path.basename(p)]) for i, p in wanted]
 
 
 class ShardReader(DataSourceReader):
@@ -77,19 +167,16 @@ class ShardReader(DataSourceReader):
         self.split = int(options.get("split", "0"))
         some = lambda name: {int(x) for x in options[name].split(",") if x.strip()} if name in options else None
         self.shards, self.indices = some("shard_id"), some("local_index")
+        self.trim = options.get("trim_tokens", "false").lower() == "true"
 
     def partitions(self) -> list[ShardRange]:
         """One task for each shard, or for each ``split`` records. Shards must agree in their layout."""
-        out, layouts = [], set()
         only = None if self.indices is None else tuple(sorted(self.indices))
-        for i, path in enumerate(list_shards(self.folder, self.pattern)):
-            if self.shards is not None and i not in self.shards:
-                continue
-            with ShardFile(path) as s:
-                h, n = s.header, len(s)
-            layouts.add((h.version, h.flags & 3, h.channels, h.token_length))
-            if len(layouts) > 1:
-                raise ValueError(f"shards of different layout in {self.folder}")
+        wanted = _looked_up(self.folder, [(i, p) for i, p in list_shards(self.folder, self.pattern) if self.shards is None or i in self.shards])
+        if len({tuple(layout) for *_, layout in wanted}) > 1:
+            raise ValueError(f"shards of different layout in {self.folder}")
+        out = []
+        for i, path, n, _ in wanted:
             step = self.split or max(n, 1)
             out += [ShardRange(i, path, a, min(a + step, n), only) for a in range(0, n, step)]
         return out
@@ -117,31 +204,50 @@ class ShardReader(DataSourceReader):
         r = s[i]
         pixels = denormalise(r.pixels, self.how, self.mean, self.std)
         _, h, w = r.pixels.shape
-        return (*head, h, w, r.orig_height, r.orig_width, pixels.tobytes(), r.q_ids, r.q_mask, r.a_ids, r.a_mask, r.metadata, at, size)
+        tokens = [r.q_ids, r.q_mask, r.a_ids, r.a_mask]
+        if self.trim:
+            ends = [int(np.max(np.nonzero(m)[0], initial=-1)) + 1 for m in (r.q_mask, r.a_mask)]
+            tokens = [x[: ends[k // 2]] for k, x in enumerate(tokens)]
+        return (*head, h, w, r.orig_height, r.orig_width, pixels.tobytes(), *tokens, r.metadata, at, size)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = []
     for values, f in zip(zip(*rows), ARROW):
-        if pa.types.is_list(f.type) and values[0] is not None:  # token arrays of one length
-            flat = np.concatenate(values) if len(values[0]) else np.empty(0, np.int32)
-            columns.append(pa.ListArray.from_arrays(np.arange(len(values) + 1, dtype=np.int32) * len(values[0]), pa.array(flat, pa.int32())))
+        if pa.types.is_list(f.type) and values[0] is not None:
+            ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
+            columns.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(values).astype(np.int32, copy=False), pa.int32())))
         else:
             columns.append(pa.array(values, f.type))
     return pa.RecordBatch.from_arrays(columns, schema=ARROW)
 
 
-def _tokens(batch: pa.RecordBatch, name: str, length: int) -> np.ndarray:
-    """Rows x ``length`` of a column of token arrays; ValueError if one has another length."""
+def _tokens(batch: pa.RecordBatch, name: str, length: int, pad: int) -> np.ndarray:
+    """Rows x ``length`` of a column of token arrays, filled up with ``pad``; ValueError if one is longer. Null is empty."""
     column = batch.column(name)
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    if column.null_count or not (pc.list_value_length(column).to_numpy(zero_copy_only=False) == length).all():
-        raise ValueError(f"{name} must have length {length} in each row")
-    return flat.astype(np.int32, copy=False).reshape(len(column), length)
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    if (sizes > length).any():
+        raise ValueError(f"{name} must have length {length} at most in each row")
+    out = np.full((len(column), length), pad, np.int32)
+    out[np.arange(length) < sizes[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def _masks(batch: pa.RecordBatch, ids: str, mask: str, length: int) -> np.ndarray:
+    """The mask column, or 1 for each token of the ids."""
+    if mask in batch.schema.names:
+        return _tokens(batch, mask, length, 0)
+    sizes = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False)
+    return (np.arange(length) < sizes[:, None]).astype(np.int32)
 
 
 class ShardSink(DataSourceArrowWriter):
-    """Each task writes whole shards under temporary names; the driver renames them when all tasks are done."""
+    """Each task writes whole shards under temporary names; the driver names them when all tasks are done.
+
+    Rows without an image are left out and counted. With ``dense`` shards are
+    numbered anew, in the order of their numbers, so that shards all of whose rows
+    are left out leave no gap.
+    """
 
     def __init__(self, options: dict, names: list[str], overwrite: bool):
         self.folder = options["path"].removeprefix("file://")
@@ -153,23 +259,29 @@ class ShardSink(DataSourceArrowWriter):
         self.version = int(options.get("format_version", "2"))
         self.lz4 = options.get("compression", "none").lower() == "lz4"
         self.alignment = int(options.get("alignment_bytes", "64"))
+        self.pad = int(options.get("pad_id", "0"))
+        self.dense = options.get("dense", "false").lower() == "true"
         self.mark = f".tmp-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         os.makedirs(self.folder, exist_ok=True)
-        done, writer, current, attempt = [], None, None, uuid.uuid4().hex[:8]
+        done, writer, current, attempt, rejected = [], None, None, uuid.uuid4().hex[:8], 0
         kind = np.uint8 if self.version == 2 else np.dtype("<f4")
 
         def finish() -> None:
             if writer is not None:
-                done.append((current, writer.path, *writer.close()))
+                h = writer.header
+                done.append((current, writer.path, *writer.close(), [h.version, h.flags & 3, h.channels, h.token_length]))
 
         try:
             for batch in iterator:
                 plain = {c: batch.column(c).to_pylist() for c in ("shard_id", "channels", "height", "width", "orig_height", "orig_width", "metadata")}
                 image = batch.column("image")
-                arrays = [_tokens(batch, c, self.token_length) for c in ("q_ids", "q_mask", "a_ids", "a_mask")]
+                arrays = [f(x) for x in "qa" for f in (lambda x: _tokens(batch, f"{x}_ids", self.token_length, self.pad), lambda x: _masks(batch, f"{x}_ids", f"{x}_mask", self.token_length))]
                 for i, (shard, c, h, w, oh, ow, meta) in enumerate(zip(*plain.values())):
+                    if not image[i].is_valid:
+                        rejected += 1
+                        continue
                     if shard != current:
                         finish()
                         current = shard
@@ -185,19 +297,27 @@ class ShardSink(DataSourceArrowWriter):
             for d in done:
                 os.path.exists(d[1]) and os.remove(d[1])
             raise
-        return Written(done)
+        return Written(done, rejected)
 
     def commit(self, messages: list[Written | None]) -> None:
-        files = [f for m in messages if m for f in m.files]
+        files = sorted(f for m in messages if m for f in m.files)
         if len({f[0] for f in files}) < len(files):
             raise ValueError("a shard was written by two tasks; use write_shards")
         os.makedirs(self.folder, exist_ok=True)
-        if self.overwrite:
-            for n in os.listdir(self.folder):
-                if fnmatch.fnmatch(n, "shard_*.bin"):
-                    os.remove(os.path.join(self.folder, n))
-        for shard, path, *_ in files:
-            os.replace(path, os.path.join(self.folder, f"shard_{shard:04d}.bin"))
+        recover(self.folder)
+        former = [] if self.overwrite else (listing(self.folder) or {}).get("shards", [])
+        after = 1 + max([x["shard_id"] for x in former], default=-1) if self.dense else 0
+        entries, moves = {x["path"]: x for x in former}, []
+        for place, (shard, path, count, size, crc, layout) in enumerate(files):
+            number = after + place if self.dense else shard
+            name = f"shard_{number:04d}.bin"
+            moves.append([os.path.basename(path), name])
+            entries[name] = {"path": name, "shard_id": number, "sample_count": count, "size_bytes": size, "checksum_crc32": crc, "layout": layout}
+        drop = [n for n in os.listdir(self.folder) if fnmatch.fnmatch(n, "shard_*.bin") and n not in entries] if self.overwrite else []
+        shards = sorted(entries.values(), key=lambda x: x["shard_id"])
+        # From here on the new version is the one that counts: whoever comes next finishes what is begun.
+        _put(os.path.join(self.folder, JOURNAL), {"move": moves, "drop": drop, "listing": {"shards": shards, "rejected": sum(m.rejected for m in messages if m)}})
+        recover(self.folder)
 
     def abort(self, messages: list[Written | None]) -> None:
         for n in os.listdir(self.folder) if os.path.isdir(self.folder) else []:
@@ -235,15 +355,16 @@ def read_shards(spark: SparkSession, folder: str, shard_id: object = None, local
     return reader.load(folder)
 
 
-def write_shards(df: DataFrame, folder: str, mode: str = "overwrite", **options: object) -> None:
-    """Write rows (shard_id, local_index, channels, height, width, orig_height, orig_width, image, q_ids, q_mask,
-    a_ids, a_mask, metadata) as one file for each shard.
+def write_shards(df: DataFrame, folder: str, mode: str = "overwrite", placed: bool = False, **options: object) -> None:
+    """Write rows (shard_id, local_index, channels, height, width, orig_height, orig_width, image, q_ids, a_ids,
+    metadata, and if there are any q_mask and a_mask) as one file for each shard.
 
-    One shuffle puts a shard's rows into one task, in the order of local_index.
+    Token arrays may be shorter than ``token_length``. One shuffle puts a shard's rows
+    into one task, in the order of local_index; ``placed`` says that they are so already.
     """
     register(df.sparkSession)
-    placed = df.repartition("shard_id").sortWithinPartitions("shard_id", "local_index")
-    writer = placed.write.format("shard").mode(mode)
+    ready = df if placed else df.repartition("shard_id").sortWithinPartitions("shard_id", "local_index")
+    writer = ready.write.format("shard").mode(mode)
     for k, v in options.items():
-        writer = writer.option(k, str(v))
+        writer = writer.option(k, str(v).lower() if isinstance(v, bool) else str(v))
     writer.save(folder)

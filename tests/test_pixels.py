@@ -55,7 +55,7 @@ def test_fit_and_colour():
     x = np.full((10, 20, 3), 255, np.uint8)
     p = px.fit(x, 16, 16, "resize_and_pad", pad_value=7)
     assert p.shape == (16, 16, 3) and (p[:4] == 7).all() and (p[4:12] == 255).all() and (p[12:] == 7).all()
-    assert px.fit(x, 16, 16, "center_crop").shape == px.fit(x, 16, 16, "resize_exact").shape == (16, 16, 3)
+    assert px.fit(x, 16, 16, "center_crop").shape == px.fit(x, 16, 16, "resize").shape == (16, 16, 3)
     assert px.colour(np.full((1, 1, 3), (255, 0, 0), np.uint8), "L")[0, 0, 0] == 76
     assert (px.colour(np.array([[[1, 2, 3]]], np.uint8), "BGR") == [3, 2, 1]).all()
     assert px.preserved(np.zeros((100, 50, 3), np.uint8), 20).shape == (3, 20, 10)
