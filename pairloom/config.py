@@ -135,6 +135,7 @@ def check(c: PipelineConfig) -> None:
         (whole(c.num_workers) and c.num_workers >= 0, "num_workers must be 0 at least"),
         (whole(c.progress_interval) and c.progress_interval >= 1, "progress_interval must be 1 at least"),
         (c.tokenizer.padding in PADDINGS, f"tokenizer.padding must be one of {PADDINGS}"),
+        (c.tokenizer.padding == "max_length" or c.tokenizer.dynamic_text_padding is True, "records are padded to max_length; another tokenizer.padding needs dynamic_text_padding"),
         (all(isinstance(x, bool) for x in (c.tokenizer.truncation, c.tokenizer.add_special_tokens, c.tokenizer.dynamic_text_padding, c.fail_fast)), "switches must be true or false"),
         (whole(c.seed), "seed must be a whole number"),
         (whole(c.streaming_chunk_size) and c.streaming_chunk_size >= 1, "streaming_chunk_size must be 1 at least"),

@@ -219,9 +219,13 @@ def fit(pixels: np.ndarray, target_h: int, target_w: int, strategy: str = "resiz
         return out
     if strategy == "center_crop":
         s = max(target_w / w, target_h / h)
-        nh, nw = max(target_h, int(h * s)), max(target_w, int(w * s))
+        nh, nw = max(1, int(h * s)), max(1, int(w * s))
         top, left = (nh - target_h) // 2, (nw - target_w) // 2
-        return resize(pixels, nh, nw, interpolation)[top : top + target_h, left : left + target_w]
+        # Truncation may leave a side one pixel short; the cut then reaches over the edge, where there are zeros.
+        out = np.zeros((target_h, target_w, c), np.uint8)
+        part = resize(pixels, nh, nw, interpolation)[max(top, 0) : top + target_h, max(left, 0) : left + target_w]
+        out[max(-top, 0) : max(-top, 0) + part.shape[0], max(-left, 0) : max(-left, 0) + part.shape[1]] = part
+        return out
     raise ValueError(f"strategy {strategy!r} is not resize_and_pad, center_crop or resize")
 
 

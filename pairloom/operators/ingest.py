@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +17,14 @@ DEFAULT_MAPPING = {"image": "image", "question": "question", "answer": "model_an
 def map_columns(df: DataFrame, mapping: dict[str, str] | None = None, row_index: str = "row_index") -> DataFrame:
     """Canonical columns of a source; columns that the source lacks are null strings.
 
-    An image may be bytes or a structure with a field ``bytes``; of a question or
-    answer that is a list, the first entry is taken.
+    An image may be bytes or a structure with a field ``bytes``, ``path`` or both (the
+    file is read where there are no bytes; one that cannot be read is null); of a
+    question or answer that is a list, the first entry is taken. Without the id's
+    column ``image_id`` serves, if there is one.
     """
     mapping = {**DEFAULT_MAPPING, **(mapping or {})}
+    if mapping["id"] not in df.columns and "image_id" in df.columns:
+        mapping["id"] = "image_id"
     return df.select(F.col(row_index).alias("row_index"), *[_canonical(df, c, s).alias(c) for c, s in mapping.items()])
 
 
@@ -27,13 +32,28 @@ def _canonical(df: DataFrame, name: str, source: str) -> Column:
     if source not in df.columns:
         return F.lit(None).cast("string")
     kind, value = df.schema[source].dataType, F.col(source)
-    if name == "image" and isinstance(kind, StructType) and "bytes" in kind.names:
-        return value["bytes"]
+    if name == "image" and isinstance(kind, StructType) and {"bytes", "path"} & set(kind.names):
+        given = value["bytes"] if "bytes" in kind.names else F.lit(None).cast("binary")
+        if "path" not in kind.names:
+            return given
+        # Only paths of images without bytes go to Python.
+        return F.coalesce(given, F.pandas_udf(_contents, "binary")(F.when(given.isNull(), value["path"])))
     if name in ("question", "answer") and isinstance(kind, ArrayType):
         return F.get(value, F.lit(0))
     return value
 
 
+def _contents(paths: pd.Series) -> pd.Series:
+    def read(path: str | None) -> bytes | None:
+        try:
+            with open(path.removeprefix("file://"), "rb") as f:
+                return f.read()
+        except (OSError, AttributeError):
+            return None
+
+    return pd.Series([read(p) for p in paths], dtype=object)
+
+
 def sample_id(id_: Column, row_index: Column) -> Column:
     """The source's id as a string, or ``row_<index>``."""
     return F.coalesce(id_.cast("string"), F.concat(F.lit("row_"), row_index.cast("string")))

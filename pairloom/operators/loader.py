@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.layout import contiguous_rank, interleaved_rank
-from pairloom.functions.numeric import ceil_div
 from pairloom.functions.text import last_set
 from pairloom.operators.ordering import block_shuffle, global_shuffle, sequential
 
@@ -107,8 +106,9 @@ def padded_dims(batched: DataFrame, width: str, height: str, q_len: str, a_len:
 
 def token_trim(batched: DataFrame, q_mask: str, a_mask: str) -> DataFrame:
     """(batch_id, tokens_kept): tokens up to the last one set in any mask of the batch, 1 at least."""
-    return batched.groupBy("batch_id").agg(F.greatest(F.lit(1), F.max(F.greatest(last_set(F.col(q_mask)), last_set(F.col(a_mask))))).alias("tokens_kept"))
+    return trim_of_lengths(batched.select("batch_id", last_set(F.col(q_mask)).alias("q"), last_set(F.col(a_mask)).alias("a")), "q", "a")
 
 
-def batch_count(total: Column, batch_size: int) -> Column:
-    return ceil_div(total, batch_size)
+def trim_of_lengths(batched: DataFrame, q: str, a: str) -> DataFrame:
+    """The same from each row's places of the last tokens, so that no mask needs to be moved."""
+    return batched.groupBy("batch_id").agg(F.greatest(F.lit(1), F.max(F.greatest(q, a))).alias("tokens_kept"))

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import json
+import os
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairloom.functions.layout import FOOTER_BYTES
-from pairloom.sources.shards import listing
+from pairloom.functions.layout import HEADER_BYTES
+from pairloom.sources.codec import body_crc, parse_header
+from pairloom.sources.shards import list_shards, listing
 
 MANIFEST_VERSION = 1
 
@@ -36,37 +40,31 @@ def totals(entries: DataFrame) -> DataFrame:
 
 
 def read_shard_files(spark: SparkSession, folder: str, pattern: str = "shard_*.bin", checksums: bool = True) -> DataFrame:
-    """(path, format_version, sample_count, size_bytes, checksum_crc32) of shard files, from their bytes.
+    """(path, format_version, sample_count, flags, size_bytes, checksum_crc32) of shard files, from their bytes.
 
-    The checksum is of all but the footer. Raises FileNotFoundError for a missing
-    folder and ValueError where no file fits.
+    The checksum is of all but the footer; tasks read the files in pieces. Raises
+    FileNotFoundError for a missing folder and ValueError where no file fits.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        raise FileNotFoundError(folder)
-    if not fs.globStatus(jvm.org.apache.hadoop.fs.Path(path, pattern)):
-        raise ValueError(f"no file {pattern} in {folder}")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    body = F.expr(f"substring(content, 1, length(content) - {FOOTER_BYTES})")
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("path"),
-        _little(9).alias("format_version"),
-        _little(13).alias("sample_count"),
-        F.col("length").alias("size_bytes"),
-        (F.lpad(F.lower(F.hex(F.crc32(body))), 8, "0") if checksums else F.lit(None).cast("string")).alias("checksum_crc32"),
-    ).orderBy("path")
-
-
-def _little(at: int) -> Column:
-    """32-bit little-endian number at a place, from 1, of the column ``content``."""
-    return sum((F.conv(F.hex(F.substring("content", at + i, 1)), 16, 10).cast("bigint") * (1 << 8 * i) for i in range(4)), F.lit(0))
+    listed = list_shards(folder.removeprefix("file://"), pattern)
+    tasks = min(len(listed), max(4 * spark.sparkContext.defaultParallelism, len(listed) // 64))
+    paths = spark.createDataFrame([(i, p) for i, (_, p) in enumerate(listed)], "i int, file string").repartitionById(tasks, F.pmod("i", F.lit(tasks)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for path in pdf["file"]:
+                with open(path, "rb") as f:
+                    h = parse_header(f.read(HEADER_BYTES))
+                rows.append((os.path.basename(path), h.version, h.sample_count, h.flags, os.path.getsize(path), f"{body_crc(path):08x}" if checksums else None))
+            yield pd.DataFrame(rows, columns=["path", "format_version", "sample_count", "flags", "size_bytes", "checksum_crc32"])
+
+    return paths.mapInPandas(run, "path string, format_version bigint, sample_count bigint, flags int, size_bytes bigint, checksum_crc32 string")
 
 
 def build(spark: SparkSession, folder: str, pattern: str = "shard_*.bin", checksums: bool = True) -> dict:
     """Manifest of a folder as a dictionary. One small entry for each shard file reaches the driver."""
-    rows = read_shard_files(spark, folder, pattern, checksums).collect()
+    place = {os.path.basename(p): i for i, (_, p) in enumerate(list_shards(folder.removeprefix("file://"), pattern))}
+    rows = sorted(read_shard_files(spark, folder, pattern, checksums).collect(), key=lambda r: place[r.path])
     return {
         "version": MANIFEST_VERSION,
         "created_at": datetime.now(timezone.utc).isoformat(),

@@ -44,7 +44,7 @@ def global_shuffle(df: DataFrame, id_col: str, seed: int, epoch: int = 0, name:
     return with_position(keyed, F.substring("__k", 1, KEY_DIGITS), [F.col("__k"), F.col(id_col)], name).drop("__k")
 
 
-def sequential(df: DataFrame, id_col: str, buckets: int = 4096, name: str = "position") -> DataFrame:
+def sequential(df: DataFrame, id_col: str, buckets: int = 4096, rows_per_bucket: int = 16_384, name: str = "position") -> DataFrame:
     """Places in the order of a whole-number id, whatever numbers the ids are.
 
     The ids' range is cut at approximate quantiles, so that sparse ids do not make a
@@ -53,7 +53,7 @@ def sequential(df: DataFrame, id_col: str, buckets: int = 4096, name: str = "pos
     low, high, rows = df.agg(F.min(id_col), F.max(id_col), F.count(F.lit(1))).first()
     if low is None or high == low:
         return with_position(df, F.lit(0), [F.asc_nulls_first(id_col)], name)
-    wanted = max(1, min(buckets, rows // 16_384))
+    wanted = max(1, min(buckets, rows // rows_per_bucket))
     if high - low < 4 * rows:  # about dense: ranges of equal width hold about equally many
         bucket = F.floor((F.col(id_col) - F.lit(low)) / F.lit(max(1, -(-(high - low + 1) // wanted))))
     else:

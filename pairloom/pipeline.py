@@ -95,7 +95,7 @@ def write(spark: SparkSession, valid: DataFrame, places: DataFrame, config: Pipe
     h, w = config.image.target_size if c.format_version == 1 else (config.image.max_image_dim,) * 2
     ready = records(placed(valid.select(*SAMPLE), places), config, ("shard_id", "local_index"))
     write_shards(
-        ready.select("shard_id", "local_index", "channels", "height", "width", "orig_height", "orig_width", "image", "q_ids", "a_ids", "metadata"), folder, placed=True, dense=True, pad_id=pad_id(config.tokenizer),
+        ready.select("shard_id", "local_index", "channels", "height", "width", "orig_height", "orig_width", "image", "q_ids", "a_ids", "metadata"), folder, placed=True, dense=True, pad_id=pad_id(config.tokenizer), progress_interval=config.progress_interval,
         token_length=config.tokenizer.max_length, channels=1 if config.image.color_space == "L" else 3, height=h, width=w, format_version=c.format_version, compression=c.compression or "none", alignment_bytes=c.alignment_bytes,
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.config import ImageConfig, PipelineConfig, ShardConfig
+from pairloom.functions import layout
 from pairloom.functions.text import mask, padded
 from pairloom.operators import delivery, ingest, manifest, ordering, process, shards
 from pairloom.pipeline import SAMPLE, assigned, decodable, placed, write
@@ -80,6 +81,14 @@ def shard_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.join(own, "path", "left").select("path", "format_version", "sample_count", F.coalesce(agrees, F.lit(False)).alias("agrees"))
 
 
+def shard_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the heads of compressed shards say of their records."""
+    folder, _, _ = _written(spark, sf_dir, "lz4")
+    f = F.col("flags")
+    kinds = {"uint8": layout.FLAG_UINT8, "sample_dims": layout.FLAG_SAMPLE_DIMS, "lz4": layout.FLAG_LZ4, "zstd": layout.FLAG_ZSTD}
+    return manifest.read_shard_files(spark, folder, checksums=False).select("path", *[layout.has_flag(f, v).alias(k) for k, v in kinds.items()])
+
+
 def shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some records of each shard, sought through the offset table."""
     folder, _, _ = _written(spark, sf_dir, None)
@@ -119,7 +128,7 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(counts.schema).parquet(out).select(F.date_format("hour", "yyyy-MM-dd HH:mm").alias("hour"), "event_type", "n")
 
 
-QUERIES = [image_decode, image_fit, shard_roundtrip, lz4_roundtrip, shard_files, shard_lookup, collate_dynamic, shuffle_buffer, rotate_by_size, stream_counts]
+QUERIES = [image_decode, image_fit, shard_roundtrip, lz4_roundtrip, shard_files, shard_flags, shard_lookup, collate_dynamic, shuffle_buffer, rotate_by_size, stream_counts]
 
 # Sizes stand at fixed places of a PNG.
 _HEX = "hex(coalesce(image_bytes, ''::BLOB))"
@@ -138,6 +147,7 @@ ORACLES = {
     "shard_roundtrip": _ROUND,
     "lz4_roundtrip": _ROUND,
     "shard_files": f"SELECT printf('shard_%04d.bin', shard_id) AS path, CAST(2 AS BIGINT) AS format_version, CAST(equal AS BIGINT) AS sample_count, true AS agrees FROM ({_ROUND})",
+    "shard_flags": f"SELECT printf('shard_%04d.bin', shard_id) AS path, true AS uint8, true AS sample_dims, true AS lz4, false AS zstd FROM ({_ROUND})",
     "shard_lookup": f"SELECT CAST(floor(p / 1000) AS INTEGER) AS shard_id, CAST(p % 1000 AS INTEGER) AS local_index, sample_id, h AS height, w AS width, true AS aligned, CAST(least({_LEN_A}, 512) AS INTEGER) AS answer_tokens FROM {_SEQ} WHERE p % 1000 IN (0, 7, 99)",
     "collate_dynamic": f"SELECT batch_id, CAST(count(*) AS INTEGER) AS size, max(h) AS height, max(w) AS width, CAST(greatest(1, max(greatest(least({_LEN_Q}, 512), least({_LEN_A}, 512)))) AS INTEGER) AS tokens, CAST(sum(CAST(h AS BIGINT) * w) AS BIGINT) AS real_pixels, true AS whole FROM {_EPOCH0} GROUP BY batch_id",
     "shuffle_buffer": "SELECT o_orderkey % 8 AS part, count(*) AS rows, count(*) AS places, CAST(0 AS BIGINT) AS early, count(*) AS \"end\" FROM orders GROUP BY 1",

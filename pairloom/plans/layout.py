@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pairloom.config import ImageConfig, TokenizerConfig
 from pairloom.functions import geometry, layout
-from pairloom.functions.text import has_text, mask, token_ids
+from pairloom.functions.text import has_text, last_set, mask, token_ids
 from pairloom.operators import ingest, loader, manifest, ordering, process, shards
 from pairloom.storage import grouped, materialize
 from pairloom.tables import table
@@ -242,8 +242,8 @@ def padding_waste(spark, sf_dir):
 
 def batch_token_trim(spark, sf_dir):
     s = table(spark, sf_dir, "samples").where(has_text(F.col("question")) & has_text(F.col("answer")))
-    m = s.select("row_index", mask(token_ids(F.col("question")), TOKENS).alias("q"), mask(token_ids(F.col("answer")), TOKENS).alias("a"))
-    return loader.token_trim(loader.epoch_batches(m, "row_index", SEED, EPOCH, BATCH), "q", "a")
+    m = s.select("row_index", last_set(mask(token_ids(F.col("question")), TOKENS)).alias("q"), last_set(mask(token_ids(F.col("answer")), TOKENS)).alias("a"))
+    return loader.trim_of_lengths(loader.epoch_batches(m, "row_index", SEED, EPOCH, BATCH), "q", "a")
 
 
 def collate_fixed(spark, sf_dir):
@@ -254,7 +254,7 @@ def collate_fixed(spark, sf_dir):
     collated; an image that cannot be decoded is 0 there and does not count as one.
     """
     s = table(spark, sf_dir, "samples").select("row_index", "image_bytes", token_ids(F.col("question")).alias("q"), token_ids(F.col("answer")).alias("a"))
-    b = loader.epoch_batches(s, "row_index", SEED, EPOCH, BATCH)
+    b = s.join(loader.epoch_batches(s.select("row_index"), "row_index", SEED, EPOCH, BATCH), "row_index")
     c = ImageConfig(storage_dtype="float32", dynamic_padding=False)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:

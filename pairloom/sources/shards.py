@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import fnmatch
 import json
+import logging
 import os
 import re
 import uuid
@@ -37,6 +38,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from pairloom.sources.codec import Record, ShardFile, ShardWriter, denormalise
 
+log = logging.getLogger("pairloom")
+
 SCHEMA = (
     "shard_id int, local_index int, path string, channels int, height int, width int, orig_height int, orig_width int, image binary, "
     "q_ids array<int>, q_mask array<int>, a_ids array<int>, a_mask array<int>, metadata string, rec_offset bigint, rec_len bigint"
@@ -260,6 +263,7 @@ class ShardSink(DataSourceArrowWriter):
         self.lz4 = options.get("compression", "none").lower() == "lz4"
         self.alignment = int(options.get("alignment_bytes", "64"))
         self.pad = int(options.get("pad_id", "0"))
+        self.progress = int(options.get("progress_interval", "0"))
         self.dense = options.get("dense", "false").lower() == "true"
         self.mark = f".tmp-{uuid.uuid4().hex}"
 
@@ -289,6 +293,8 @@ class ShardSink(DataSourceArrowWriter):
                             raise ValueError("rows of a shard must follow each other; use write_shards")
                         writer = ShardWriter(os.path.join(self.folder, f"{self.mark}-{attempt}-{current}"), self.channels, self.height, self.width, self.token_length, self.version, self.lz4, self.alignment)
                     pixels = np.frombuffer(image[i].as_buffer(), kind).reshape(c, h, w)
+                    if self.progress and len(writer.offsets) % self.progress == self.progress - 1:
+                        log.info("shard %s: %s records", current, len(writer.offsets) + 1)
                     writer.add(Record(pixels, *(a[i] for a in arrays), meta or "{}", oh, ow))
             finish()
         except BaseException:

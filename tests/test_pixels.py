@@ -71,3 +71,16 @@ def test_padded_batch():
     data, mask = px.padded_batch([np.ones((3, 2, 3), np.float32), np.ones((3, 4, 1), np.float32), np.ones((3, 3, 3), np.float32)])
     assert data.shape == (3, 3, 4, 3) and mask.sum((1, 2)).tolist() == [6, 4, 9]
     assert (data[1, :, :, 1:] == 0).all() and (data[1, :, :, 0] == 1).all()
+
+
+def test_center_crop_is_what_geometry_says(spark):
+    """535 pixels come out one short of 384, in the geometry as in the pixels."""
+    from pyspark.sql import functions as F
+
+    from pairloom.functions import geometry
+
+    for w, h in ((535, 535), (20, 13), (384, 700), (7, 7)):
+        g = spark.range(1).select(*[v.alias(k) for k, v in geometry.center_crop(F.lit(w), F.lit(h), 384, 384).items()]).first()
+        x = np.full((h, w, 3), 200, np.uint8)
+        out = px.fit(x, 384, 384, "center_crop", "nearest")
+        assert (out[:, :, 0] > 0).any(0).sum() == min(384, g.new_w) and (out[:, :, 0] > 0).any(1).sum() == min(384, g.new_h)
