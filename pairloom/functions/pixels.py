@@ -184,7 +184,7 @@ def _weights(size: int, new: int, name: str) -> np.ndarray:
     centre = (np.arange(new) + 0.5) * scale
     w = _kernel(name, (np.arange(size)[None, :] + 0.5 - centre[:, None]) / wide)
     w[np.abs(np.arange(size)[None, :] + 0.5 - centre[:, None]) > KERNELS[name] * wide] = 0
-    return w / w.sum(1, keepdims=True)
+    return (w / w.sum(1, keepdims=True)).astype(np.float32)
 
 
 def resize(pixels: np.ndarray, h: int, w: int, interpolation: str = "bicubic") -> np.ndarray:
@@ -199,10 +199,16 @@ def resize(pixels: np.ndarray, h: int, w: int, interpolation: str = "bicubic") -
     if interpolation not in KERNELS:
         raise ValueError(f"interpolation {interpolation!r} is not nearest, {', '.join(KERNELS)}")
     rows, columns, channels = pixels.shape
-    x = _weights(rows, h, interpolation) @ pixels.reshape(rows, columns * channels).astype(np.float64)
-    x = _weights(columns, w, interpolation) @ x.reshape(h, columns, channels)
-    x += 0.5
-    return np.clip(np.floor(x, out=x), 0, 255, out=x).astype(np.uint8)
+    x = _weights(rows, h, interpolation) @ pixels.reshape(rows, columns * channels).astype(np.float32)
+    x = x.reshape(h, columns, channels).transpose(0, 2, 1).reshape(h * channels, columns) @ _weights(columns, w, interpolation).T
+    x += np.float32(0.5)
+    np.clip(x, 0, 255, out=x)
+    return x.astype(np.uint8).reshape(h, channels, w).transpose(0, 2, 1)
+
+
+def _planar(h: int, w: int, c: int, value: int) -> np.ndarray:
+    """Height x width x channels, laid out by channels, as records store them."""
+    return np.full((c, h, w), value, np.uint8).transpose(1, 2, 0)
 
 
 def fit(pixels: np.ndarray, target_h: int, target_w: int, strategy: str = "resize_and_pad", interpolation: str = "bicubic", pad_value: int = 0) -> np.ndarray:
@@ -213,7 +219,7 @@ def fit(pixels: np.ndarray, target_h: int, target_w: int, strategy: str = "resiz
     if strategy == "resize_and_pad":
         s = min(target_w / w, target_h / h)
         nh, nw = int(h * s), int(w * s)
-        out = np.full((target_h, target_w, c), pad_value, np.uint8)
+        out = _planar(target_h, target_w, c, pad_value)
         top, left = (target_h - nh) // 2, (target_w - nw) // 2
         out[top : top + nh, left : left + nw] = resize(pixels, nh, nw, interpolation)
         return out
@@ -222,7 +228,7 @@ def fit(pixels: np.ndarray, target_h: int, target_w: int, strategy: str = "resiz
         nh, nw = max(1, int(h * s)), max(1, int(w * s))
         top, left = (nh - target_h) // 2, (nw - target_w) // 2
         # Truncation may leave a side one pixel short; the cut then reaches over the edge, where there are zeros.
-        out = np.zeros((target_h, target_w, c), np.uint8)
+        out = _planar(target_h, target_w, c, 0)
         part = resize(pixels, nh, nw, interpolation)[max(top, 0) : top + target_h, max(left, 0) : left + target_w]
         out[max(-top, 0) : max(-top, 0) + part.shape[0], max(-left, 0) : max(-left, 0) + part.shape[1]] = part
         return out
@@ -236,7 +242,10 @@ def normalised(pixels: np.ndarray, mean: tuple[float, ...], std: tuple[float, ..
         raise ValueError(f"mean and std must have {c} values")
     # A byte has 256 values: they are looked up, by channel.
     values = (np.arange(256, dtype=np.float32)[None, :] / np.float32(255) - np.float32(mean)[:, None]) / np.float32(std)[:, None]
-    return np.stack([values[i][pixels[:, :, i]] for i in range(c)])
+    out = np.empty((c, *pixels.shape[:2]), np.float32)
+    for i in range(c):
+        np.take(values[i], pixels[:, :, i], out=out[i], mode="clip")
+    return out
 
 
 def preserved(pixels: np.ndarray, longest: int, interpolation: str = "bicubic") -> np.ndarray:

@@ -247,13 +247,17 @@ def batch_token_trim(spark, sf_dir):
 
 
 def collate_fixed(spark, sf_dir):
+    return collated_fixed(table(spark, sf_dir, "samples"))
+
+
+def collated_fixed(samples: DataFrame, checksum: bool = False) -> DataFrame:
     """Token arrays and pixels of each batch side by side, in the order of positions: checksums of the tokens, and
-    how many images and bytes of pixels were put together.
+    how many images and bytes of pixels were put together, and with ``checksum`` that of the pixels.
 
     Pixels are moved as stored bytes, and brought to one size where a batch is
     collated; an image that cannot be decoded is 0 there and does not count as one.
     """
-    s = table(spark, sf_dir, "samples").select("row_index", "image_bytes", token_ids(F.col("question")).alias("q"), token_ids(F.col("answer")).alias("a"))
+    s = samples.select("row_index", "image_bytes", token_ids(F.col("question")).alias("q"), token_ids(F.col("answer")).alias("a"))
     b = s.join(loader.epoch_batches(s.select("row_index"), "row_index", SEED, EPOCH, BATCH), "row_index")
     c = ImageConfig(storage_dtype="float32", dynamic_padding=False)
 
@@ -273,9 +277,10 @@ def collate_fixed(spark, sf_dir):
             if image is not None:
                 place[:] = np.frombuffer(image, np.float32).reshape(place.shape)
                 decoded += 1
-        return pd.DataFrame([row | {"images": decoded, "pixel_bytes": len(pixels.tobytes())}])
+        row |= {"images": decoded, "pixel_bytes": len(pixels.tobytes())}
+        return pd.DataFrame([row | ({"pixels_md5": hashlib.md5(pixels).hexdigest()} if checksum else {})])
 
-    schema = "batch_id bigint, batch_size bigint, q_ids_md5 string, q_mask_md5 string, a_ids_md5 string, a_mask_md5 string, images bigint, pixel_bytes bigint"
+    schema = "batch_id bigint, batch_size bigint, q_ids_md5 string, q_mask_md5 string, a_ids_md5 string, a_mask_md5 string, images bigint, pixel_bytes bigint" + (", pixels_md5 string" if checksum else "")
     return grouped(b.select("batch_id", "position", "image_bytes", "q", "a"), "batch_id").groupBy("batch_id").applyInPandas(run, schema)
 
 

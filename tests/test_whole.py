@@ -8,8 +8,10 @@ import os
 import pytest
 
 from pairloom.config import ImageConfig
+from pairloom.operators import manifest
 from pairloom.operators.process import image_record
-from pairloom.plans import catalog
+from pairloom.plans import catalog, files, layout
+from pairloom.sources.shards import read_shards
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -41,16 +43,18 @@ def test_shards_hold_whole_answers(spark):
     q = catalog.queries()
     longest = max(len(words(r.answer)) for r in spark.read.parquet(f"{DATA}/samples.parquet").select("answer").collect())
     assert 32 < max(r.tokens for r in q["collate_dynamic"](spark, DATA).select("tokens").collect()) <= longest
-    assert all(r.rec_len > 16 * 512 for r in q["shard_lookup"](spark, DATA).collect())
-    d = q["shard_files"](spark, DATA).toPandas()
+    folder, _, _ = files._written(spark, DATA, None)
+    assert all(r.rec_len > 16 * 512 for r in read_shards(spark, folder, payload=False).select("rec_len").collect())
+    d = manifest.read_shard_files(spark, folder).toPandas()
     assert (d["size_bytes"] > 16 * 512 * d["sample_count"]).all()
+    assert max(r.answer_tokens for r in q["shard_lookup"](spark, "/root/testdata/sf0.01").collect()) > 32
 
 
 def test_collate_fixed_moves_everything(spark):
     token = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:7], 16)
     c = ImageConfig(storage_dtype="float32", dynamic_padding=False)
     s = spark.read.parquet(f"{DATA}/samples.parquet").select("row_index", "question", "answer", "image_bytes").collect()
-    got = {r.batch_id: r.asDict() for r in catalog.queries()["collate_fixed"](spark, DATA).collect()}
+    got = {r.batch_id: r.asDict() for r in layout.collated_fixed(spark.read.parquet(f"{DATA}/samples.parquet"), checksum=True).collect()}
     made = batches_of(s)
     assert sorted(got) == list(range(len(made)))
     for i, b in enumerate(made):
