@@ -39,6 +39,13 @@ def totals(entries: DataFrame) -> DataFrame:
     return clean_entries(entries).agg(F.count(F.lit(1)).alias("total_shards"), F.coalesce(F.sum("sample_count"), F.lit(0)).alias("total_samples"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_bytes"))
 
 
+def file_entry(path: str, checksums: bool = True) -> tuple[str, int, int, int, int, str | None]:
+    """(name, format version, samples, flags, bytes, checksum) of a shard file, from its bytes."""
+    with open(path, "rb") as f:
+        h = parse_header(f.read(HEADER_BYTES))
+    return os.path.basename(path), h.version, h.sample_count, h.flags, os.path.getsize(path), f"{body_crc(path):08x}" if checksums else None
+
+
 def read_shard_files(spark: SparkSession, folder: str, pattern: str = "shard_*.bin", checksums: bool = True) -> DataFrame:
     """(path, format_version, sample_count, flags, size_bytes, checksum_crc32) of shard files, from their bytes.
 
@@ -51,12 +58,7 @@ def read_shard_files(spark: SparkSession, folder: str, pattern: str = "shard_*.b
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for path in pdf["file"]:
-                with open(path, "rb") as f:
-                    h = parse_header(f.read(HEADER_BYTES))
-                rows.append((os.path.basename(path), h.version, h.sample_count, h.flags, os.path.getsize(path), f"{body_crc(path):08x}" if checksums else None))
-            yield pd.DataFrame(rows, columns=["path", "format_version", "sample_count", "flags", "size_bytes", "checksum_crc32"])
+            yield pd.DataFrame([file_entry(path, checksums) for path in pdf["file"]], columns=["path", "format_version", "sample_count", "flags", "size_bytes", "checksum_crc32"])
 
     return paths.mapInPandas(run, "path string, format_version bigint, sample_count bigint, flags int, size_bytes bigint, checksum_crc32 string")
 

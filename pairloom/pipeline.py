@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pairloom.config import PipelineConfig, load_config
 from pairloom.functions.layout import record_length
 from pairloom.operators import ingest, manifest, ordering, shards
-from pairloom.operators.process import image_size, pad_id, records
+from pairloom.operators.process import image_size, measured, pad_id, records
 from pairloom.session import local_session, ship
 from pairloom.sources.readers import read_first
 from pairloom.sources.shards import write_shards
@@ -91,17 +91,34 @@ SAMPLE = ("row_index", "sample_id", "image_bytes", "question", "answer", "metada
 
 def write(spark: SparkSession, valid: DataFrame, places: DataFrame, config: PipelineConfig, folder: str) -> None:
     """Move the encoded samples to the tasks of their shards; decode, tokenize and write there."""
+    write_shards(ready(valid, places, config), folder, placed=True, dense=True, progress_interval=config.progress_interval, **layout_options(config))
+
+
+def ready(valid: DataFrame, places: DataFrame, config: PipelineConfig, *keep: str) -> DataFrame:
+    """What a shard stores of each sample, in the order in which shards store it; columns of ``places`` in ``keep`` stay."""
+    r = records(placed(valid.select(*SAMPLE), places), config, ("shard_id", "local_index", *keep))
+    return r.select("shard_id", "local_index", *keep, "channels", "height", "width", "orig_height", "orig_width", "image", "q_ids", "a_ids", "metadata")
+
+
+def layout_options(config: PipelineConfig) -> dict[str, object]:
+    """Options of the shard writer that say how records are laid out."""
     c = config.shard
     h, w = config.image.target_size if c.format_version == 1 else (config.image.max_image_dim,) * 2
-    ready = records(placed(valid.select(*SAMPLE), places), config, ("shard_id", "local_index"))
-    write_shards(
-        ready.select("shard_id", "local_index", "channels", "height", "width", "orig_height", "orig_width", "image", "q_ids", "a_ids", "metadata"), folder, placed=True, dense=True, pad_id=pad_id(config.tokenizer), progress_interval=config.progress_interval,
-        token_length=config.tokenizer.max_length, channels=1 if config.image.color_space == "L" else 3, height=h, width=w, format_version=c.format_version, compression=c.compression or "none", alignment_bytes=c.alignment_bytes,
-    )
+    return {
+        "pad_id": pad_id(config.tokenizer), "token_length": config.tokenizer.max_length, "channels": 1 if config.image.color_space == "L" else 3, "height": h, "width": w,
+        "format_version": c.format_version, "compression": c.compression or "none", "alignment_bytes": c.alignment_bytes,
+    }
 
 
 def decodable(valid: DataFrame, config: PipelineConfig) -> DataFrame:
-    """(row_index, rec_len) of the samples that can be processed: pixels are made, measured and dropped."""
+    """(row_index, rec_len) of the samples that can be processed: pixels are made, measured and dropped.
+
+    Shards by count need no rec_len, and if long texts are cut no tokens either: then
+    images alone are looked at, and rec_len is left out.
+    """
+    if config.shard.max_samples_per_shard and config.tokenizer.truncation:
+        seen = measured(spread(valid.select("row_index", "image_bytes")), config.image, fail_fast=config.fail_fast)
+        return materialize(seen.where("pixels.error is null").select("row_index"), "decodable")
     r = records(spread(valid.select(*SAMPLE)), config).where("error is null")
     size = F.octet_length("image") + record_length(F.lit(0), F.lit(0), F.lit(0), config.tokenizer.max_length, F.octet_length("metadata"), config.shard.format_version)
     return materialize(r.select("row_index", size.alias("rec_len")), "decodable")

@@ -21,12 +21,14 @@ say the same and belong to one load.
 from __future__ import annotations
 
 import fnmatch
+import itertools
 import json
 import logging
 import os
 import re
+import shutil
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -374,3 +376,45 @@ def write_shards(df: DataFrame, folder: str, mode: str = "overwrite", placed: bo
     for k, v in options.items():
         writer = writer.option(k, str(v).lower() if isinstance(v, bool) else str(v))
     writer.save(folder)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[pa.RecordBatch]]:
+    """The rows of one shard after the other, each as batches that are taken before the next shard is asked for."""
+    pieces = (batch.slice(a, b - a) for batch in batches for a, b in _borders(batch.column("shard_id").to_numpy()))
+    for _, own in itertools.groupby(pieces, key=lambda piece: piece.column("shard_id")[0].as_py()):
+        yield own
+
+
+def _borders(shards: np.ndarray) -> list[tuple[int, int]]:
+    cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
+def pass_shards(ready: DataFrame, folder: str, use: Callable[[str, list], Iterator[pa.RecordBatch]], schema: str, note: Callable[[pa.RecordBatch], list] | None = None, **options: object) -> DataFrame:
+    """What ``use`` makes of each shard, for work that needs no two shards at once.
+
+    ``ready`` is as for :func:`write_shards`, ``placed``. A task writes one shard as a
+    whole file and commits it in a folder of its own, gives ``use`` that folder and
+    what ``note`` kept of the rows, and removes it: there are as many shard files at
+    a time as tasks, however many shards there are.
+    """
+    given = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches):
+            own, kept = os.path.join(folder, uuid.uuid4().hex), []
+
+            def noted() -> Iterator[pa.RecordBatch]:
+                for batch in rows:
+                    if note is not None:
+                        kept.extend(note(batch))
+                    yield batch
+
+            try:
+                sink = ShardSink({**given, "path": own}, [], True)
+                sink.commit([sink.write(noted())])
+                yield from use(own, kept)
+            finally:
+                shutil.rmtree(own, ignore_errors=True)
+
+    return ready.mapInArrow(run, schema)
