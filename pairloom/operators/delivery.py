@@ -23,6 +23,10 @@ SCHEMA = (
 )
 
 
+#: Arrays of a collated batch.
+ARRAYS = ("images", "padding_mask", "q_ids", "q_mask", "a_ids", "a_mask")
+
+
 @dataclass(frozen=True)
 class Checkpoint:
     """Where delivery stands."""
@@ -47,14 +51,18 @@ class LoaderConfig:
 
 
 def _row(group: pd.DataFrame, config: LoaderConfig) -> dict[str, object]:
-    """The collated row of a batch. Pixels are moved as stored bytes; they are normalised only here."""
+    """The collated row of a batch."""
+    row, b = _collated(group, config)
+    return row | {k: b[k].tobytes() for k in ARRAYS} | {"metadata": b["metadata"]}
+
+
+def _collated(group: pd.DataFrame, config: LoaderConfig) -> tuple[dict[str, object], dict[str, np.ndarray]]:
+    """(sizes, arrays) of a batch. Pixels are moved as stored bytes; they are normalised only here."""
     how, mean, std = config.normalize, config.mean, config.std
     group = group.assign(image=[_float(i, c, h, w, how, mean, std) for i, c, h, w in zip(group["image"], group["channels"], group["height"], group["width"])])
     b = collate(group)
     n, c, h, w = b["images"].shape
-    row = {"batch_id": group["batch_id"].iloc[0], "size": n, "channels": c, "height": h, "width": w, "tokens": b["q_ids"].shape[1]}
-    row |= {k: b[k].tobytes() for k in ("images", "padding_mask", "q_ids", "q_mask", "a_ids", "a_mask")}
-    return row | {k: b[k].tolist() for k in ("heights", "widths")} | {"metadata": b["metadata"]}
+    return {"batch_id": group["batch_id"].iloc[0], "size": n, "channels": c, "height": h, "width": w, "tokens": b["q_ids"].shape[1]} | {k: b[k].tolist() for k in ("heights", "widths")}, b
 
 
 def collated(rows: DataFrame, config: LoaderConfig) -> DataFrame:
@@ -62,6 +70,37 @@ def collated(rows: DataFrame, config: LoaderConfig) -> DataFrame:
     return grouped(rows, "batch_id").groupBy("batch_id").applyInPandas(lambda group: pd.DataFrame([_row(group, config)]), SCHEMA)
 
 
+def measured(rows: DataFrame, config: LoaderConfig) -> DataFrame:
+    """The sizes of what :func:`collated` makes of each batch, and the bytes of its arrays (``images_len`` and so on).
+
+    Batches are put together as there; their arrays do not leave the task. Of the
+    records, pixels are moved as stored bytes.
+    """
+    fields = "batch_id bigint, size int, channels int, height int, width int, tokens int, heights array<int>, widths array<int>, " + ", ".join(f"{k}_len bigint" for k in ARRAYS)
+    names = ["batch_id", "position", "image", "channels", "height", "width", "q_ids", "q_mask", "a_ids", "a_mask", "metadata"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def summary(group: pd.DataFrame) -> dict[str, object]:
+            row, b = _collated(group, config)
+            return row | {f"{k}_len": b[k].nbytes for k in ARRAYS}
+
+        held: list[pd.DataFrame] = []
+        for pdf in batches:
+            groups = [g for _, g in pdf.groupby("batch_id", sort=False)]
+            out = []
+            for group in groups:
+                if held and held[0]["batch_id"].iloc[0] != group["batch_id"].iloc[0]:
+                    out.append(summary(pd.concat(held)))
+                    held = []
+                held.append(group)
+            if out:
+                yield pd.DataFrame(out)
+        if held:
+            yield pd.DataFrame([summary(pd.concat(held))])
+
+    return grouped(rows.select(*names), "batch_id").sortWithinPartitions("batch_id", "position").mapInPandas(run, fields)
+
+
 def collated_from(folder: str, plan: DataFrame, config: LoaderConfig, pattern: str = "shard_*.bin") -> DataFrame:
     """One row for each batch of ``plan`` (batch_id, position, shard_id, local_index).
 

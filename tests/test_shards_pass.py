@@ -47,7 +47,7 @@ def test_prints_tell_every_field():
     assert of(row, tokens) == of(dict(row), tokens.copy()) and len({of(row, tokens), *others}) == 14
 
 
-@pytest.mark.parametrize("name", ["shard_roundtrip", "shard_files", "shard_lookup"])
+@pytest.mark.parametrize("name", ["shard_roundtrip", "shard_files", "shard_lookup", "collate_dynamic"])
 def test_shards_do_not_stay(spark, monkeypatch, name):
     folders, shared = [], files._shared
     monkeypatch.setattr(files, "_shared", lambda *given: folders.append(shared(*given)) or folders[-1])
