@@ -84,3 +84,21 @@ def test_center_crop_is_what_geometry_says(spark):
         x = np.full((h, w, 3), 200, np.uint8)
         out = px.fit(x, 384, 384, "center_crop", "nearest")
         assert (out[:, :, 0] > 0).any(0).sum() == min(384, g.new_w) and (out[:, :, 0] > 0).any(1).sum() == min(384, g.new_h)
+
+
+def test_fit_normalised_has_the_same_bits():
+    """Into one array, image after image: what fit and normalised say, for shapes that pad at each side, plain ones too."""
+    mean, std = (0.485, 0.456, 0.406), (0.229, 0.224, 0.225)
+    out = np.full((3, 48, 64), np.nan, np.float32)
+    r = np.random.default_rng(3)
+    for h, w in ((9, 14), (48, 64), (1, 1), (40, 2), (3, 200), (150, 20), (12, 16), (64, 48)):
+        for x in (r.integers(0, 256, (h, w, 3)).astype(np.uint8), np.full((h, w, 3), (1, 128, 255), np.uint8)):
+            for kind, name in (("resize_and_pad", "bicubic"), ("resize_and_pad", "lanczos"), ("resize_and_pad", "nearest"), ("center_crop", "bilinear")):
+                if kind == "resize_and_pad" and int(h * min(64 / w, 48 / h)) < 1:
+                    continue
+                px.fit_normalised(out, x, kind, name, 7, mean, std)
+                assert (out == px.normalised(px.fit(x, 48, 64, kind, name, 7), mean, std)).all()
+    before = out.copy()
+    with pytest.raises(ValueError):
+        px.fit_normalised(out, np.zeros((1, 4000, 3), np.uint8), "resize_and_pad", "bicubic", 7, mean, std)
+    assert (out == before).all()
