@@ -250,6 +250,12 @@ def collate_fixed(spark, sf_dir):
     return collated_fixed(table(spark, sf_dir, "samples"))
 
 
+def _numbers(rows: np.ndarray, sizes: list[int]) -> str:
+    """The numbers of all rows with commas between them; beyond its size a row has zeros."""
+    zeros = ",0" * rows.shape[1]
+    return ",".join(",".join(map(str, row[:n].tolist())) + zeros[2 * n :] if n else zeros[1:] for row, n in zip(rows, sizes))
+
+
 def collated_fixed(samples: DataFrame, checksum: bool = False) -> DataFrame:
     """Token arrays and pixels of each batch side by side, in the order of positions: checksums of the tokens, and
     how many images and bytes of pixels were put together, and with ``checksum`` that of the pixels.
@@ -261,23 +267,34 @@ def collated_fixed(samples: DataFrame, checksum: bool = False) -> DataFrame:
     b = s.join(loader.epoch_batches(s.select("row_index"), "row_index", SEED, EPOCH, BATCH), "row_index")
     c = ImageConfig(storage_dtype="float32", dynamic_padding=False)
 
+    kept: dict[str, np.ndarray] = {}  # a task's own: fresh arrays for each batch cost more, in page faults, than what is written into them
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("position", kind="stable")
         row: dict[str, object] = {"batch_id": group["batch_id"].iloc[0], "batch_size": len(group)}
         for name in "qa":
             ids, mask_ = np.zeros((2, len(group), TOKENS), np.int32)
+            sizes = []
             for i, tokens in enumerate(group[name]):
                 n = min(len(tokens), TOKENS)
                 ids[i, :n], mask_[i, :n] = tokens[:n], 1
+                sizes.append(n)
             for kind, values in (("ids", ids), ("mask", mask_)):
-                row[f"{name}_{kind}_md5"] = hashlib.md5(",".join(map(str, values.ravel().tolist())).encode()).hexdigest()
-        pixels, decoded = np.zeros((len(group), 3, *c.target_size), np.float32), 0
-        for place, x in zip(pixels, group["image_bytes"]):
-            image = process.image_record(x, c)[0]
-            if image is not None:
-                place[:] = np.frombuffer(image, np.float32).reshape(place.shape)
-                decoded += 1
-        row |= {"images": decoded, "pixel_bytes": len(pixels.tobytes())}
+                row[f"{name}_{kind}_md5"] = hashlib.md5(_numbers(values, sizes).encode()).hexdigest()
+        if len(group) > len(kept.get("pixels", ())):
+            kept["pixels"] = np.empty((len(group), 3, *c.target_size), np.float32)
+        pixels, decoded, first, good = kept["pixels"][: len(group)], 0, {}, {}
+        for i, x in enumerate(group["image_bytes"]):
+            if (same := first.setdefault(x, i)) < i:
+                pixels[i] = pixels[same]
+                decoded += good[same]
+                continue
+            error = process.image_into(pixels[i], x, c)[-1]
+            if error is not None:
+                pixels[i] = 0
+            good[i] = error is None
+            decoded += good[i]
+        row |= {"images": decoded, "pixel_bytes": pixels.nbytes}
         return pd.DataFrame([row | ({"pixels_md5": hashlib.md5(pixels).hexdigest()} if checksum else {})])
 
     schema = "batch_id bigint, batch_size bigint, q_ids_md5 string, q_mask_md5 string, a_ids_md5 string, a_mask_md5 string, images bigint, pixel_bytes bigint" + (", pixels_md5 string" if checksum else "")
